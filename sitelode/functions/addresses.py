@@ -7,6 +7,8 @@ import ipaddress
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # IPv4 blocks that are not public, and addresses inside them that are.
 IPV4_BLOCKED = (
     "0.0.0.0/8", "10.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.0.0/24",
@@ -41,55 +43,73 @@ def _ipv4_number(ip: Column) -> Column:
 
 
 def _ipv4_public(ip: Column) -> Column:
-    number = _ipv4_number(ip)
-    blocked = _within(number, IPV4_BLOCKED, int)
-    return ~blocked | _within(number, IPV4_ALLOWED, int)
+    return let(
+        _ipv4_number(ip), lambda n: ~_within(n, IPV4_BLOCKED, int) | _within(n, IPV4_ALLOWED, int)
+    )
+
+
+def _groups(text: Column) -> Column:
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ":"))
+
+
+def _dotted_tail_as_groups(ip: Column) -> Column:
+    """A trailing IPv4 part as two hex groups."""
+    tail = F.regexp_extract(ip, rf":({_IPV4})\z", 1)
+
+    def rewrite(part: Column) -> Column:
+        digits = F.lpad(F.lower(F.hex(_ipv4_number(part))), 8, "0")
+        return F.concat(
+            F.regexp_replace(ip, r"[0-9.]+\z", ""), F.substring(digits, 1, 4), F.lit(":"), F.substring(digits, 5, 4)
+        )
+
+    return let(tail, lambda part: F.when(part != "", rewrite(part)).otherwise(ip))
+
+
+def _filled(halves: Column) -> Column:
+    """All eight groups, with ``::`` standing for at least one of them."""
+
+    def fill(left: Column, right: Column) -> Column:
+        missing = 8 - F.size(left) - F.size(right)
+        return F.when(missing >= 1, F.concat(left, F.array_repeat(F.lit("0"), missing), right))
+
+    both = F.when(
+        F.size(halves) == 2,
+        let(
+            _groups(F.element_at(halves, 1)),
+            lambda left: let(_groups(F.element_at(halves, 2)), lambda right: fill(left, right)),
+        ),
+    )
+    return F.when(F.size(halves) == 1, F.split(F.element_at(halves, 1), ":")).otherwise(both)
 
 
 def _ipv6_hex(ip: Column) -> Column:
     """The address as 32 hex digits, or null when it is not one."""
     bare = F.lower(F.regexp_replace(ip, r"%[^%]+\z", ""))
-    tail = F.regexp_extract(bare, rf":({_IPV4})\z", 1)
-    tail_hex = F.lpad(F.lower(F.hex(_ipv4_number(tail))), 8, "0")
-    grouped = F.when(
-        tail != "",
-        F.concat(
-            F.regexp_replace(bare, r"[0-9.]+\z", ""), F.substring(tail_hex, 1, 4), F.lit(":"), F.substring(tail_hex, 5, 4)
-        ),
-    ).otherwise(bare)
+    halves = F.split(let(bare, _dotted_tail_as_groups), "::")
 
-    def groups(text: Column) -> Column:
-        return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ":"))
+    def joined(groups: Column) -> Column:
+        valid = (F.size(groups) == 8) & F.forall(groups, lambda g: g.rlike(r"^[0-9a-f]{1,4}\z"))
+        return F.when(valid, F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), ""))
 
-    halves = F.split(grouped, "::")
-    compressed = F.size(halves) == 2
-    left, right = groups(F.element_at(halves, 1)), groups(F.try_element_at(halves, F.lit(2)))
-    missing = 8 - F.size(left) - F.size(right)
-    filled = F.when(
-        compressed & (missing >= 1), F.concat(left, F.array_repeat(F.lit("0"), missing), right)
-    ).when(F.size(halves) == 1, left)
-    valid = (F.size(filled) == 8) & F.forall(filled, lambda g: g.rlike(r"^[0-9a-f]{1,4}\z"))
-    return F.when(valid, F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), ""))
+    return let(let(halves, _filled), joined)
 
 
-def is_public_address(ip: Column) -> Column:
-    """True for an address reachable from the public internet; text that is no address is not."""
-    hexed = _ipv6_hex(ip)
-
+def _ipv6_public(digits: Column) -> Column:
     def bound(address) -> str:
         return address.exploded.replace(":", "")
 
-    mapped = F.startswith(hexed, F.lit("0" * 20 + "ffff"))
-    mapped_v4 = F.array_join(
-        F.transform(F.sequence(F.lit(25), F.lit(31), F.lit(2)), lambda i: F.conv(F.substring(hexed, i, F.lit(2)), 16, 10)),
-        ".",
+    octets = F.transform(
+        F.sequence(F.lit(25), F.lit(31), F.lit(2)), lambda i: F.conv(F.substring(digits, i, F.lit(2)), 16, 10)
     )
-    v6_public = ~_within(hexed, IPV6_BLOCKED, bound) | _within(hexed, IPV6_ALLOWED, bound)
+    mapped = F.startswith(digits, F.lit("0" * 20 + "ffff"))
+    own = ~_within(digits, IPV6_BLOCKED, bound) | _within(digits, IPV6_ALLOWED, bound)
+    return F.when(mapped, _ipv4_public(F.array_join(octets, "."))).otherwise(own)
+
+
+def is_public_address(ip: Column) -> Column:
+    """True for an address reachable from the public internet; text that is no address is not."""
     return F.coalesce(
-        F.when(ip.rlike(rf"^{_IPV4}\z"), _ipv4_public(ip))
-        .when(mapped, _ipv4_public(mapped_v4))
-        .when(hexed.isNotNull(), v6_public),
-        F.lit(False),
+        F.when(ip.rlike(rf"^{_IPV4}\z"), _ipv4_public(ip)).otherwise(let(_ipv6_hex(ip), _ipv6_public)), F.lit(False)
     )
 
 

@@ -14,6 +14,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 _PIECES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
 # Code points whose reference stands for some other character (Windows-1252 habits).
 _REMAPPED = (0x0, 0xD, *range(0x80, 0xA0))
@@ -58,6 +60,10 @@ def _numeric(token: Column) -> Column:
     # Anything longer than nine digits is beyond the last code point anyway.
     digits = F.when(F.length(digits) > 9, F.lit("110000000")).otherwise(F.concat(F.lit("0"), digits))
     point = F.when(hexadecimal, F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.cast("bigint"))
+    return let(point, _character)
+
+
+def _character(point: Column) -> Column:
     remapped = _constant(json.dumps({p: unescape(f"&#{p};") for p in _REMAPPED}), "map<string,string>")
     dropped = (
         point.between(0x1, 0x8)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .entities import decode_entities
 from .text import SPACE, strip
 from .urls import reference_parts, resolve_parts
@@ -28,7 +29,7 @@ def extract_links(html: Column, base_url: Column) -> Column:
     base = reference_parts(base_url)
     hrefs = F.transform(raw_hrefs(html), lambda h: strip(decode_entities(h)))
     split = F.transform(F.filter(hrefs, lambda h: h != ""), reference_parts)
-    links = F.transform(split, lambda r: resolve_parts(base, r))
+    links = let(base, lambda b: F.transform(split, lambda r: resolve_parts(b, r)))
     return F.array_sort(F.array_distinct(F.filter(links, lambda u: u.isNotNull() & is_http(u))))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 _AFTER_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?"
 _AFTER_NETLOC = _AFTER_SCHEME + r"(?://[^/?#]*)?"
@@ -125,7 +127,9 @@ def resolve_parts(base: Column, ref: Column) -> Column:
     joined = F.when(ref["path"].startswith("/"), ref["path"]).otherwise(
         F.regexp_replace(F.concat(directory, F.lit("/"), ref["path"]), "/+", "/")
     )
-    merged = F.when(joined.rlike(r"(?:^|/)\.\.?(?:/|\z)"), _drop_dot_segments(joined)).otherwise(joined)
+    merged = let(
+        joined, lambda j: F.when(j.rlike(r"(?:^|/)\.\.?(?:/|\z)"), _drop_dot_segments(j)).otherwise(j)
+    )
     same_document = (ref["path"] == "") & (ref["params"] == "")
     broken = F.contains(ref["netloc"], F.lit("[")) != F.contains(ref["netloc"], F.lit("]"))
     return (
@@ -145,10 +149,13 @@ def resolve_parts(base: Column, ref: Column) -> Column:
                 F.when(ref["query"] != "", ref["query"]).otherwise(base["query"]),
             ),
         )
-        .otherwise(_assemble(base["scheme"], base["netloc"], merged, ref["params"], ref["query"]))
+        .otherwise(let(merged, lambda m: _assemble(base["scheme"], base["netloc"], m, ref["params"], ref["query"])))
     )
 
 
 def resolve_url(base: Column, ref: Column) -> Column:
     """Absolute URL of ``ref`` seen from the http(s) page ``base``."""
-    return F.when(ref == "", base).otherwise(resolve_parts(reference_parts(base), reference_parts(ref)))
+    resolved = let(
+        reference_parts(base), lambda b: let(reference_parts(ref), lambda r: resolve_parts(b, r))
+    )
+    return F.when(ref == "", base).otherwise(resolved)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.entities import decode_entities
 from ..functions.text import collapse_blank_lines, has_text, strip
 
@@ -26,12 +27,16 @@ def _drop(html: Column, names: tuple[str, ...]) -> Column:
 
 def main_region(html: Column) -> Column:
     """Inner HTML of the first article, else main, else body element, else the whole text."""
+
+    def region(clean: Column) -> Column:
+        found = [
+            F.nullif(F.regexp_extract(clean, rf"(?is)<{name}\b[^>]*>(.*?)(?:</{name}\s*>|\z)", 1), F.lit(""))
+            for name in REGIONS
+        ]
+        return F.coalesce(*found, clean)
+
     clean = _drop(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), DROPPED_EVERYWHERE)
-    found = [
-        F.nullif(F.regexp_extract(clean, rf"(?is)<{name}\b[^>]*>(.*?)(?:</{name}\s*>|\z)", 1), F.lit(""))
-        for name in REGIONS
-    ]
-    return _drop(F.coalesce(*found, clean), DROPPED_IN_REGION)
+    return _drop(let(clean, region), DROPPED_IN_REGION)
 
 
 def to_markdown(region: Column) -> Column:
@@ -54,9 +59,14 @@ def page_content(html: Column) -> Column:
 
 def has_content(html: Column) -> Column:
     """Whether ``page_content`` is non-blank, without building it."""
-    visible = decode_entities(F.regexp_replace(main_region(html), r"<[^>]*>", ""))
-    listed = main_region(html).rlike(r"(?i)<(?:li|h[1-6])\b[^>]*>")
-    return has_text(visible) | F.coalesce(listed, F.lit(False))
+
+
+    def shows(region: Column) -> Column:
+        # A list item or heading leaves its mark even when empty.
+        marked = region.rlike(r"(?i)<(?:li|h[1-6])\b[^>]*>")
+        return marked | has_text(decode_entities(F.regexp_replace(region, r"<[^>]*>", "")))
+
+    return F.coalesce(let(main_region(html), shows), F.lit(False))
 
 
 def _element_text(html: Column, name: str) -> Column:

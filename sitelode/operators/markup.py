@@ -24,31 +24,31 @@ NOISE_CLASSES = (
     "mw-empty-elt", "toc", "mw-jump-link", "printfooter",
 )
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_BLOCKS = ("p", "div", "section", "article", "main", "dl", "figure")
+_EMPHASIS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`", "del": "~~", "s": "~~"}
 _OPENERS = {
-    **{f"h{n}": "\n\n" + "#" * n + " " for n in range(1, 7)},
-    **dict.fromkeys(("b", "strong"), "**"), **dict.fromkeys(("i", "em"), "*"),
-    **dict.fromkeys(("p", "div", "section", "article", "main", "table", "dl", "figure", "ul", "ol"), "\n\n"),
-    "code": "`", "br": "\n", "hr": "\n\n---\n\n", "blockquote": "\n\n> ", "tr": "\n| ", "dt": "\n", "dd": "\n: ",
+    **{f"h{n}": "\n\n" + "#" * n + " " for n in range(1, 7)}, **_EMPHASIS, **dict.fromkeys(_BLOCKS, "\n\n"),
+    "br": "  \n", "hr": "\n\n---\n\n", "blockquote": "\n\n> ", "dt": "\n", "dd": "\n: ",
 }
 _CLOSERS = {
-    **{f"h{n}": "\n\n" for n in range(1, 7)},
-    **dict.fromkeys(("b", "strong"), "**"), **dict.fromkeys(("i", "em"), "*"),
-    **dict.fromkeys(("p", "div", "section", "article", "main", "table", "dl", "figure", "ul", "ol", "blockquote"), "\n\n"),
-    "code": "`", "td": " | ", "th": " | ",
+    **{f"h{n}": "\n\n" for n in range(1, 7)}, **_EMPHASIS, **dict.fromkeys(_BLOCKS, "\n\n"),
+    "blockquote": "\n\n", "td": " |", "th": " |",
 }
 
 
 class _Markdown(HTMLParser):
     """Collects markdown, skipping dropped elements together with everything inside them."""
 
-    def __init__(self, dropped_tags: tuple[str, ...], dropped_classes: tuple[str, ...]):
+    def __init__(self, dropped_tags: tuple[str, ...], dropped_classes: tuple[str, ...], bullets: str, escape: bool):
         super().__init__(convert_charrefs=True)
         self.dropped_tags, self.dropped_classes = set(dropped_tags), set(dropped_classes)
+        self.bullets, self.escape = bullets, escape
         self.out: list[str] = []
         self.open: list[tuple[str, bool]] = []  # open elements and whether each is dropped
         self.skipping = 0  # dropped elements among them
         self.lists: list[int | None] = []  # next number of each open list, None for bullets
-        self.pre = 0
+        self.cells: list[int] = []  # cells of the first row of each open table, 0 once it is closed
+        self.pre = self.code = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         classes = set((dict(attrs).get("class") or "").split())
@@ -62,14 +62,28 @@ class _Markdown(HTMLParser):
             self.lists.append(1 if tag == "ol" else None)
             self.out.append("\n" if len(self.lists) > 1 else "\n\n")
         elif tag == "li":
+            depth = max(len(self.lists) - 1, 0)
             number = self.lists[-1] if self.lists else None
-            self.out.append("\n" + "  " * (len(self.lists) - 1) + (f"{number}. " if number else "- "))
+            mark = f"{number}." if number else self.bullets[depth % len(self.bullets)]
+            self.out.append("\n" + "  " * depth + mark + " ")
             if number:
                 self.lists[-1] = number + 1
+        elif tag == "table":
+            self.cells.append(-1)
+            self.out.append("\n\n")
+        elif tag == "tr":
+            if self.cells and self.cells[-1] < 0:
+                self.cells[-1] = 1
+            self.out.append("\n|")
+        elif tag in ("td", "th"):
+            if self.cells and self.cells[-1] > 0:
+                self.cells[-1] += 1
+            self.out.append(" ")
         elif tag == "pre":
             self.pre += 1
             self.out.append("\n\n```\n")
         elif not (self.pre and tag == "code"):
+            self.code += tag == "code"
             self.out.append(_OPENERS.get(tag, ""))
 
     def handle_endtag(self, tag: str) -> None:
@@ -84,37 +98,57 @@ class _Markdown(HTMLParser):
         if tag in ("ul", "ol") and self.lists:
             self.lists.pop()
             self.out.append("\n" if self.lists else "\n\n")
+        elif tag == "tr" and self.cells and self.cells[-1] > 0:
+            # The first row is the header, and a separator follows it.
+            self.out.append("\n|" + " --- |" * (self.cells[-1] - 1))
+            self.cells[-1] = 0
+        elif tag == "table" and self.cells:
+            self.cells.pop()
+            self.out.append("\n\n")
         elif tag == "pre" and self.pre:
             self.pre -= 1
             self.out.append("\n```\n\n")
         elif not (self.pre and tag == "code"):
+            self.code -= tag == "code" and self.code > 0
             self.out.append(_CLOSERS.get(tag, ""))
 
     def handle_data(self, data: str) -> None:
-        if not self.skipping:
-            self.out.append(data if self.pre else re.sub(r"[ \t\r\n\f]+", " ", data))
+        if self.skipping:
+            return
+        if not self.pre:
+            data = re.sub(r"[ \t\r\n\f]+", " ", data)
+        if self.escape and not (self.pre or self.code):
+            data = re.sub(r"([*_])", r"\\\1", data)
+        self.out.append(data)
 
     def text(self) -> str:
-        joined = re.sub(r"[ \t]+\n", "\n", "".join(self.out))
-        joined = re.sub(r"\n (?=\S)", "\n", joined)
+        joined = re.sub(r"(?<=\S)[ \t](?=\n)", "", "".join(self.out))
+        joined = re.sub(r"^[ \t]+$", "", joined, flags=re.M)
+        joined = re.sub(r"\n (?=[^ \n])", "\n", joined)
         return re.sub(r"\n{3,}", "\n\n", joined).strip()
 
 
-def markdown_of(html: str | None, dropped_tags: tuple[str, ...], dropped_classes: tuple[str, ...] = ()) -> str:
-    parser = _Markdown(dropped_tags, dropped_classes)
+def markdown_of(
+    html: str | None,
+    dropped_tags: tuple[str, ...],
+    dropped_classes: tuple[str, ...] = (),
+    bullets: str = "-",
+    escape: bool = False,
+) -> str:
+    parser = _Markdown(dropped_tags, dropped_classes, bullets, escape)
     parser.feed(html or "")
     parser.close()
     return parser.text()
 
 
-def _convert(df: DataFrame, html: str, out: str, dropped_tags, dropped_classes) -> DataFrame:
+def _convert(df: DataFrame, html: str, out: str, *rules) -> DataFrame:
     """Replace column ``html`` by markdown ``out`` and a ``malformed`` flag for rows that failed to parse."""
     kept = [f for f in df.schema.fields if f.name != html]
     schema = T.StructType([*kept, T.StructField(out, T.StringType()), T.StructField("malformed", T.BooleanType())])
 
     def one(text: str | None) -> tuple[str, bool]:
         try:
-            return markdown_of(text, dropped_tags, dropped_classes), False
+            return markdown_of(text, *rules), False
         except (AssertionError, ValueError):  # the tokenizer's errors on broken declarations
             return "", True
 
@@ -128,7 +162,7 @@ def _convert(df: DataFrame, html: str, out: str, dropped_tags, dropped_classes)
 
 def wiki_markdown(articles: DataFrame, html: str = "html", out: str = "content") -> DataFrame:
     """Wiki article fragments as markdown: furniture removed, link and image markup flattened."""
-    return _convert(articles, html, out, ("style", "script"), NOISE_CLASSES)
+    return _convert(articles, html, out, ("style", "script"), NOISE_CLASSES, "*+-", True)
 
 
 def extract_parsed(pages: DataFrame, body: str = "body") -> DataFrame:
@@ -137,5 +171,5 @@ def extract_parsed(pages: DataFrame, body: str = "body") -> DataFrame:
         {"title": page_title(F.col(body)), "description": page_description(F.col(body)), "_region": main_region(F.col(body))}
     )
     dropped = (*DROPPED_EVERYWHERE, *DROPPED_IN_REGION)
-    return _convert(narrowed, "_region", "content", dropped, ()).drop("malformed")
+    return _convert(narrowed, "_region", "content", dropped).drop("malformed")
 
