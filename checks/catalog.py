@@ -482,7 +482,7 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fetches.unionByName(ends)
     rows.repartitionByRange(4, "visit").write.parquet(location)
     arriving = spark.readStream.schema(progress_streams.FETCHES).option("maxFilesPerTrigger", 1).parquet(location)
-    messages = progress_streams.progress_stream(arriving, budget_ms=60_000)
+    messages = progress_streams.progress_stream(arriving, budget_ms=60_000, timer=False)
     page_streams.write_stream(messages, output, state).awaitTermination()
     return spark.read.parquet(output).withColumn("seq", F.col("seq").cast("bigint"))
 

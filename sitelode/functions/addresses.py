@@ -106,12 +106,12 @@ def _ipv6_public(digits: Column) -> Column:
     return F.when(mapped, _ipv4_public(F.array_join(octets, "."))).otherwise(own)
 
 
-def is_public_address(ip: Column) -> Column:
-    """True for an address reachable from the public internet; text that is no address is not."""
-    return F.coalesce(
-        F.when(ip.rlike(rf"^{_IPV4}\z"), _ipv4_public(ip)).otherwise(let(_ipv6_hex(ip), _ipv6_public)), F.lit(False)
-    )
+def address_is_public(ip: Column) -> Column:
+    """Whether an address is reachable from the public internet; null for text that is no address."""
+    return F.when(ip.rlike(rf"^{_IPV4}\z"), _ipv4_public(ip)).otherwise(let(_ipv6_hex(ip), _ipv6_public))
 
 
-def is_address(text: Column) -> Column:
-    return F.coalesce(text.rlike(rf"^{_IPV4}\z"), F.lit(False)) | _ipv6_hex(text).isNotNull()
+def is_public_address(ip: Column) -> Column:
+    """The same with false for text that is no address."""
+    return F.coalesce(address_is_public(ip), F.lit(False))
+

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.addresses import is_address, is_public_address
+from ..functions.addresses import address_is_public, is_public_address
 from ..functions.urls import host, scheme
 
 
@@ -16,10 +16,14 @@ def guard_urls(urls: DataFrame, dns: DataFrame) -> DataFrame:
     table without repeats however many addresses a name has.
     """
     names = dns.groupBy("host").agg(F.bool_and(is_public_address(F.col("ip"))).alias("all_public"))
-    wanted = urls.select("*", host(F.col("url")).alias("_host"))
-    literal = is_address(F.col("_host"))
-    public = F.when(literal, is_public_address(F.col("_host"))).otherwise(F.col("all_public"))
-    return wanted.join(names.withColumnRenamed("host", "_host"), "_host", "left").select(
+    wanted = urls.select("*", host(F.col("url")).alias("_host")).withColumn(
+        "_literal_public", address_is_public(F.col("_host"))
+    )
+    judged = wanted.join(names.withColumnRenamed("host", "_host"), "_host", "left").withColumn(
+        "_public", F.coalesce("_literal_public", "all_public")
+    )
+    public = F.col("_public")
+    return judged.select(
         *urls.columns,
         F.when(~scheme(F.col("url")).isin("http", "https"), F.lit("unsupported_scheme"))
         .when(F.col("_host") == "", F.lit("no_host"))
