@@ -478,12 +478,13 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         "crawl_id", F.lit(2**53).alias("visit"), F.lit(False).alias("has_content"), F.lit(0).cast("bigint").alias("elapsed_ms"),
         F.lit(True).alias("is_end"), "max_pages", "source_total",
     )
-    # Files hold consecutive visits and are read in the order they were written.
     rows = fetches.unionByName(ends)
-    rows.repartitionByRange(4, "visit").write.parquet(location)
-    arriving = spark.readStream.schema(progress_streams.FETCHES).option("maxFilesPerTrigger", 1).parquet(location)
-    messages = progress_streams.progress_stream(arriving, budget_ms=60_000, timer=False)
-    page_streams.write_stream(messages, output, state).awaitTermination()
+    # Files arrive in the order of visits; the stream stops and resumes from its state in between.
+    for low, high in ((0, 8), (8, 40), (40, 2**54)):
+        rows.filter((F.col("visit") >= low) & (F.col("visit") < high)).write.mode("append").parquet(location)
+        arriving = spark.readStream.schema(progress_streams.FETCHES).parquet(location)
+        messages = progress_streams.progress_stream(arriving, budget_ms=60_000, timer=False)
+        page_streams.write_stream(messages, output, state).awaitTermination()
     return spark.read.parquet(output).withColumn("seq", F.col("seq").cast("bigint"))
 
 

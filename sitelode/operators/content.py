@@ -19,10 +19,9 @@ REGIONS = ("article", "main", "body")
 _BLOCKS = "p|div|section|article|main|ul|ol|dl|dt|dd|table|tr|blockquote|pre|figure|figcaption|details|summary"
 
 
-def _drop(html: Column, names: tuple[str, ...]) -> Column:
-    for name in names:
-        html = F.regexp_replace(html, rf"(?is)<{name}\b[^>]*>.*?</{name}\s*>", "")
-    return html
+def _drop(html: Column, names: tuple[str, ...], also: str = "") -> Column:
+    """Remove elements of all given names in one pass."""
+    return F.regexp_replace(html, rf"(?is)<({'|'.join(names)})\b[^>]*>.*?</\1\s*>{also}", "")
 
 
 def main_region(html: Column) -> Column:
@@ -35,15 +34,16 @@ def main_region(html: Column) -> Column:
         ]
         return F.coalesce(*found, clean)
 
-    clean = _drop(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), DROPPED_EVERYWHERE)
+    clean = _drop(html, DROPPED_EVERYWHERE, "|<!--.*?-->")
     return _drop(let(clean, region), DROPPED_IN_REGION)
 
 
 def to_markdown(region: Column) -> Column:
     """Headings, list items, emphasis and paragraphs as markdown; all other tags go."""
-    text = F.regexp_replace(region, r"[ \t\r\n\f]+", " ")
+    text = F.regexp_replace(region, r"[ \t\r\n\f]{2,}|[\t\r\n\f]", " ")
+    text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*>", "\n\n<#$1>")
     for level in range(1, 7):
-        text = F.regexp_replace(text, rf"(?i)<h{level}\b[^>]*>", "\n\n" + "#" * level + " ")
+        text = F.replace(text, F.lit(f"<#{level}>"), F.lit("#" * level + " "))
     text = F.regexp_replace(text, r"(?i)</h[1-6]\s*>", "\n\n")
     text = F.regexp_replace(text, r"(?i)<li\b[^>]*>", "\n- ")
     text = F.regexp_replace(text, r"(?i)<br\b[^>]*>", "\n")
@@ -64,7 +64,11 @@ def has_content(html: Column) -> Column:
     def shows(region: Column) -> Column:
         # A list item or heading leaves its mark even when empty.
         marked = region.rlike(r"(?i)<(?:li|h[1-6])\b[^>]*>")
-        return marked | has_text(decode_entities(F.regexp_replace(region, r"<[^>]*>", "")))
+        return marked | let(F.regexp_replace(region, r"<[^>]*>", ""), visible)
+
+    def visible(plain: Column) -> Column:
+        # Text before the first reference settles most pages without decoding.
+        return has_text(F.substring_index(plain, "&", 1)) | has_text(decode_entities(plain))
 
     return F.coalesce(let(main_region(html), shows), F.lit(False))
 

@@ -7,6 +7,7 @@ comparing trails as text gives first-in-first-out order without ranking a level.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,29 +44,29 @@ def link_edges(graph: DataFrame) -> DataFrame:
     )
 
 
-def _expand(hits: DataFrame) -> DataFrame:
+def _link_step() -> Callable[[DataFrame], DataFrame]:
     """In-scope links of one level, one row per crawl and key, earliest trail first."""
     scope = F.col("scope")
-    followed = (
-        hits.filter(F.col("is_page") & (F.col("depth") < F.col("scope.max_depth")))
-        .select("crawl_id", "depth", "trail", "scope", F.posexplode("links").alias("pos", "url"))
-        .filter(
-            in_scope(
-                F.col("url"), scope["host"], scope["path_prefix"], scope["include_regex"], scope["exclude_regex"]
-            )
-        )
-        .select(
-            "crawl_id",
-            canonical_url(F.col("url")).alias("key"),
-            (F.col("depth") + 1).alias("depth"),
-            F.concat("trail", F.lpad(F.hex("pos"), 8, "0")).alias("trail"),
-            "url",
-            "scope",
-        )
+    followed = F.col("is_page") & (F.col("depth") < scope["max_depth"])
+    allowed = in_scope(
+        F.col("url"), scope["host"], scope["path_prefix"], scope["include_regex"], scope["exclude_regex"]
+    )
+    link = F.struct(
+        (F.col("depth") + 1).alias("depth"),
+        F.concat("trail", F.lpad(F.hex("pos"), 8, "0")).alias("trail"),
+        "url",
+        "scope",
     )
-    # min() combines on the map side, so a link on every page is no hot key.
-    first = followed.groupBy("crawl_id", "key").agg(F.min(F.struct("depth", "trail", "url", "scope")).alias("first"))
-    return first.select("crawl_id", "key", "first.*")
+    exploded = ["crawl_id", "depth", "trail", "scope", F.posexplode("links").alias("pos", "url")]
+    keyed = ["crawl_id", canonical_url(F.col("url")).alias("key"), link.alias("link")]
+
+    def expand(hits: DataFrame) -> DataFrame:
+        links = hits.filter(followed).select(*exploded).filter(allowed).select(*keyed)
+        # min() combines on the map side, so a link on every page is no hot key.
+        first = links.groupBy("crawl_id", "key").agg(F.min("link").alias("link"))
+        return first.select("crawl_id", "key", "link.*")
+
+    return expand
 
 
 def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
@@ -91,6 +92,7 @@ def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
         deepest = 0
 
     levels: list[DataFrame] = []
+    expand = _link_step()
     for depth in range(deepest + 1):
         hits = cut_lineage(
             level.withColumn("fetch_key", without_fragment(F.col("url"))).join(graph, "fetch_key", "left").drop("fetch_key")
@@ -104,7 +106,7 @@ def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
             .agg(F.count_if("has_content").alias("pages"), F.max("scope.max_pages").alias("max_pages"))
             .filter("pages >= max_pages")
         )
-        level = _expand(hits.join(finished, "crawl_id", "left_anti")).join(
+        level = expand(hits.join(finished, "crawl_id", "left_anti")).join(
             visited.select("crawl_id", "key"), ["crawl_id", "key"], "left_anti"
         )
     log = reduce(DataFrame.unionByName, levels)
