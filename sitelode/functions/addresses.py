@@ -16,7 +16,7 @@ IPV4_BLOCKED = (
     "224.0.0.0/4", "240.0.0.0/4",
 )
 IPV4_ALLOWED = ("192.0.0.9/32", "192.0.0.10/32")
-# The same for IPv6.
+# The same for IPv6. IPv4 addresses written as IPv6 fall into the first block.
 IPV6_BLOCKED = (
     "::/3", "4000::/3", "6000::/3", "8000::/3", "a000::/3", "c000::/3", "e000::/4", "f000::/5",
     "f800::/6", "fc00::/7", "fe00::/9", "fe80::/10", "ff00::/8",
@@ -98,12 +98,7 @@ def _ipv6_public(digits: Column) -> Column:
     def bound(address) -> str:
         return address.exploded.replace(":", "")
 
-    octets = F.transform(
-        F.sequence(F.lit(25), F.lit(31), F.lit(2)), lambda i: F.conv(F.substring(digits, i, F.lit(2)), 16, 10)
-    )
-    mapped = F.startswith(digits, F.lit("0" * 20 + "ffff"))
-    own = ~_within(digits, IPV6_BLOCKED, bound) | _within(digits, IPV6_ALLOWED, bound)
-    return F.when(mapped, _ipv4_public(F.array_join(octets, "."))).otherwise(own)
+    return ~_within(digits, IPV6_BLOCKED, bound) | _within(digits, IPV6_ALLOWED, bound)
 
 
 def address_is_public(ip: Column) -> Column:

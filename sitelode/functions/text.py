@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+# Fixed value: the same characters one by one.
+SPACE_CHARACTERS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Trim Unicode whitespace on both ends."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    """Trim Unicode whitespace on both ends. Only the ends are looked at, unlike with a pattern."""
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
 
 def has_text(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.binding import let
 from ..functions.entities import decode_entities
-from ..functions.text import collapse_blank_lines, has_text, strip
+from ..functions.text import has_text, strip
 
 # Elements dropped whole, wherever they stand and inside the main region.
 DROPPED_EVERYWHERE = ("script", "style", "noscript", "template", "svg")
@@ -29,7 +29,10 @@ def main_region(html: Column) -> Column:
 
     def region(clean: Column) -> Column:
         found = [
-            F.nullif(F.regexp_extract(clean, rf"(?is)<{name}\b[^>]*>(.*?)(?:</{name}\s*>|\z)", 1), F.lit(""))
+            let(
+                F.regexp_extract(clean, rf"(?is)<{name}\b[^>]*>(.*?)(?:</{name}\s*>|\z)", 1),
+                lambda inner: F.when(inner != "", inner),
+            )
             for name in REGIONS
         ]
         return F.coalesce(*found, clean)
@@ -44,13 +47,13 @@ def to_markdown(region: Column) -> Column:
     text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*>", "\n\n<#$1>")
     for level in range(1, 7):
         text = F.replace(text, F.lit(f"<#{level}>"), F.lit("#" * level + " "))
-    text = F.regexp_replace(text, r"(?i)</h[1-6]\s*>", "\n\n")
     text = F.regexp_replace(text, r"(?i)<li\b[^>]*>", "\n- ")
     text = F.regexp_replace(text, r"(?i)<br\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"(?i)<(?:b|strong)\b[^>]*>([^<]*)</(?:b|strong)\s*>", "**$1**")
-    text = F.regexp_replace(text, rf"(?i)</?(?:{_BLOCKS})\b[^>]*>", "\n\n")
+    text = F.regexp_replace(text, rf"(?i)</?(?:{_BLOCKS})\b[^>]*>|</h[1-6]\s*>", "\n\n")
     text = decode_entities(F.regexp_replace(text, r"<[^>]*>", ""))
-    return collapse_blank_lines(F.regexp_replace(text, r" *\n *", "\n"))
+    text = F.regexp_replace(text, r" *\n *(?:\n *)+", "\n\n")
+    return strip(F.regexp_replace(text, r" +\n *|\n +", "\n"))
 
 
 def page_content(html: Column) -> Column:

@@ -97,7 +97,7 @@ class _Markdown(HTMLParser):
             return
         if tag in ("ul", "ol") and self.lists:
             self.lists.pop()
-            self.out.append("\n" if self.lists else "\n\n")
+            self.out.append("" if self.lists else "\n\n")
         elif tag == "tr" and self.cells and self.cells[-1] > 0:
             # The first row is the header, and a separator follows it.
             self.out.append("\n|" + " --- |" * (self.cells[-1] - 1))
