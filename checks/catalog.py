@@ -18,7 +18,7 @@ from . import derive as d
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tables.read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _captures(spark: SparkSession, sf_dir: str, text_: str) -> DataFrame:
@@ -184,32 +184,36 @@ def _map_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _site_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_lineage(sitemaps.site_files(_captures(spark, sf_dir, d.SITEMAP_CAPTURES)))
+
+
 def robots_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sitemaps.robots_entries(_map_bases(spark, sf_dir).select("crawl_id", "url"), _captures(spark, sf_dir, d.SITEMAP_CAPTURES))
+    found = sitemaps.robots_entries(_map_bases(spark, sf_dir).select("crawl_id", "url"), _site_files(spark, sf_dir))
     return found.select("crawl_id", F.col("pos").cast("bigint").alias("pos"), "url")
 
 
 def sitemap_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sitemaps.sitemap_candidates(_map_bases(spark, sf_dir).select("crawl_id", "url"), _captures(spark, sf_dir, d.SITEMAP_CAPTURES))
+    found = sitemaps.sitemap_candidates(_map_bases(spark, sf_dir).select("crawl_id", "url"), _site_files(spark, sf_dir))
     return found.select("crawl_id", "url", F.col("pos").cast("bigint").alias("pos"))
 
 
 def sitemap_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = sitemaps.sitemap_files(_captures(spark, sf_dir, d.SITEMAP_CAPTURES))
+    files = sitemaps.site_files(_captures(spark, sf_dir, d.SITEMAP_CAPTURES)).filter("pages is not null")
     return files.select(
-        "fetch_key", F.size("children").cast("bigint").alias("n_children"), F.col("n_pages").cast("bigint").alias("n_pages"),
+        "fetch_key", F.size("children").cast("bigint").alias("n_children"), F.size("pages").cast("bigint").alias("n_pages"),
         F.array_join("pages", " ").alias("pages"),
     )
 
 
 def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sitemaps.find_sitemap_urls(_map_bases(spark, sf_dir).select("crawl_id", "url"), _captures(spark, sf_dir, d.SITEMAP_CAPTURES))
+    found = sitemaps.find_sitemap_urls(_map_bases(spark, sf_dir).select("crawl_id", "url"), _site_files(spark, sf_dir))
     return found.select("crawl_id", *[F.col(c).cast("bigint").alias(c) for c in ("pos", "sub_pos", "loc_pos")], "url")
 
 
 def sitemap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     bases = scope.compile_globs(_map_bases(spark, sf_dir))
-    found = sitemaps.sitemap_pages(bases, _captures(spark, sf_dir, d.SITEMAP_CAPTURES))
+    found = sitemaps.sitemap_pages(bases, _site_files(spark, sf_dir))
     return found.select("crawl_id", "url")
 
 
@@ -305,7 +309,7 @@ def _wiki_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wiki_api(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wiki.derive_api(_wiki_bases(spark, sf_dir), _captures(spark, sf_dir, d.WIKI_CAPTURES))
+    return wiki.derive_api(_wiki_bases(spark, sf_dir), wiki.advertised_endpoints(_captures(spark, sf_dir, d.WIKI_CAPTURES)))
 
 
 def wiki_siteinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,9 +405,10 @@ def route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Route of every request, rejects included."""
     parsed, _ = requests.parse_requests(d.derive(spark, sf_dir, _ALL_REQUESTS))
     parsed = cut_lineage(parsed)
-    captured = _captures(spark, sf_dir, _ALL_CAPTURES)
-    found = cut_lineage(sitemaps.sitemap_pages(parsed, captured))
-    routed, rejects = router.route_requests(parsed, router.wiki_facts(parsed, captured), found)
+    facts = cut_lineage(whole.capture_facts(_captures(spark, sf_dir, _ALL_CAPTURES)))
+    found = cut_lineage(sitemaps.sitemap_pages(parsed, facts))
+    advertised = facts.filter("endpoint is not null")
+    routed, rejects = router.route_requests(parsed, router.wiki_facts(parsed, advertised, facts), found)
     return routed.select("crawl_id", "route").unionByName(rejects.select("crawl_id", F.lit("rejected").alias("route")))
 
 

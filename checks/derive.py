@@ -13,6 +13,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitelode.sources.tables import read_table
+
 # Pages placed on sites; idx numbers the pages of a site, and page 0 is its start page.
 SITE_PAGES = """
 select page_id, html, site, site_no, idx, fan, suffix, lang,
@@ -250,5 +252,5 @@ def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """One derived table over the tables in ``sf_dir``."""
     for name in ("pages", "documents"):
         if f"${name}" in text:
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(f"src_{name}")
+            read_table(spark, f"{sf_dir}/{name}.parquet").createOrReplaceTempView(f"src_{name}")
     return spark.sql(for_spark(text))

@@ -40,7 +40,7 @@ def sitemap_locs(xml: Column) -> Column:
     )
 
 
-def robots_sitemaps(robots: Column) -> Column:
+def named_sitemaps(robots: Column) -> Column:
     """Sitemap URLs named in a robots.txt body, in order."""
     return F.regexp_extract_all(
         robots, F.lit(rf"(?imd)^[{SPACE}]*sitemap:[{SPACE}]*([^{SPACE}]+)[{SPACE}]*$"), F.lit(1)

@@ -21,20 +21,23 @@ from .fetch import is_html
 from .scope import in_scope
 
 
-def link_graph(captured: DataFrame, has_content: Column | None = None) -> DataFrame:
-    """What traversal needs of each capture, without its body: one scan for all levels.
+def graph_columns(has_content: Column | None = None) -> list[Column]:
+    """What traversal needs of a capture, from its ``fetch_key, status, content_type, body``.
 
     Links of a blank page are kept, since blank pages are followed but not emitted.
     """
     page = is_html(F.col("status"), F.col("content_type"))
     content = default_has_content(F.col("body")) if has_content is None else has_content
-    return captured.select(
-        "fetch_key",
-        "elapsed_ms",
+    return [
         page.alias("is_page"),
         F.when(page, F.coalesce(content, F.lit(False))).otherwise(F.lit(False)).alias("has_content"),
         F.when(page, extract_links(F.col("body"), F.col("fetch_key"))).alias("links"),
-    )
+    ]
+
+
+def link_graph(captured: DataFrame, has_content: Column | None = None) -> DataFrame:
+    """The captures without their bodies: one scan serves all levels of a traversal."""
+    return captured.select("fetch_key", "elapsed_ms", *graph_columns(has_content))
 
 
 def link_edges(graph: DataFrame) -> DataFrame:
@@ -91,11 +94,12 @@ def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
     if deepest is None:
         deepest = 0
 
+    pages = graph.select("fetch_key", "elapsed_ms", "is_page", "has_content", "links")
     levels: list[DataFrame] = []
     expand = _link_step()
     for depth in range(deepest + 1):
         hits = cut_lineage(
-            level.withColumn("fetch_key", without_fragment(F.col("url"))).join(graph, "fetch_key", "left").drop("fetch_key")
+            level.withColumn("fetch_key", without_fragment(F.col("url"))).join(pages, "fetch_key", "left").drop("fetch_key")
         )
         levels.append(hits)
         if depth == deepest or hits.isEmpty():

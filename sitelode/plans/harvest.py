@@ -12,12 +12,12 @@ from ..functions.urls import default_prefix, host, without_fragment
 from ..operators.content import Extractor, extract_columns
 from ..operators.docsroot import find_docs_roots
 from ..operators.fetch import captures, follow_redirects
-from ..operators.frontier import link_graph, traverse
+from ..operators.frontier import graph_columns, traverse
 from ..operators.guard import guard_urls
 from ..session import cut_lineage
 from ..sources.requests import parse_requests
-from ..sources.sitemaps import sitemap_pages
-from ..sources.wiki import list_titles, wiki_pages
+from ..sources.sitemaps import site_file_columns, sitemap_pages
+from ..sources.wiki import endpoint_column, list_titles, wiki_pages
 from .progress import TIME_BUDGET_MS, apply_caps, crawl_summary, page_log, progress_table
 from .router import route_requests, wiki_facts
 
@@ -42,6 +42,24 @@ def drop_blocked(captured: DataFrame, dns: DataFrame) -> DataFrame:
     return captured.withColumn("_host", host(F.col("url"))).join(blocked, "_host", "left_anti").drop("_host")
 
 
+def capture_facts(captured: DataFrame, has_content: Column | None = None) -> DataFrame:
+    """Everything the plan asks of captures before it reads pages, in one scan of the bodies.
+
+    Only the bodies of wiki listing and site-info replies are carried on.
+    """
+    is_query = F.contains(F.col("fetch_key"), F.lit("action=query"))
+    return captured.select(
+        "fetch_key",
+        "status",
+        "content_type",
+        "elapsed_ms",
+        *graph_columns(has_content),
+        *site_file_columns(),
+        endpoint_column(),
+        F.when(is_query, F.col("body")).alias("body"),
+    )
+
+
 def extract_urls(urls: DataFrame, graph: DataFrame, order: list[str], slice_by: Column | None = None) -> DataFrame:
     """Page log of an explicit URL list ``(crawl_id, <order>, url)``; nothing is traversed."""
     facts = graph.select("fetch_key", "has_content", "elapsed_ms")
@@ -93,15 +111,18 @@ def harvest(
     if dns is not None:
         captured = drop_blocked(captured, dns)
     captured = follow_redirects(captured, dns)
-    graph = cut_lineage(link_graph(captured, has_content))
+    facts = cut_lineage(capture_facts(captured, has_content))
+    graph = facts.select("fetch_key", "elapsed_ms", "is_page", "has_content", "links")
+    files = facts.filter("named is not null or pages is not null").select("fetch_key", "named", "children", "pages")
+    advertised = facts.filter("endpoint is not null").select("fetch_key", "endpoint")
 
-    sitemap = cut_lineage(sitemap_pages(parsed, captured))
-    routed, not_wikis = route_requests(parsed, wiki_facts(parsed, captured), sitemap, strict)
+    sitemap = cut_lineage(sitemap_pages(parsed, files))
+    routed, not_wikis = route_requests(parsed, wiki_facts(parsed, advertised, facts), sitemap, strict)
     routed = cut_lineage(routed)
 
     # Wiki route: titles are cut to max_pages first, then scoped.
     wikis = routed.filter("route = 'wiki'")
-    titles = cut_lineage(list_titles(wikis.select("crawl_id", "api_url", "max_pages"), captured))
+    titles = cut_lineage(list_titles(wikis.select("crawl_id", "api_url", "max_pages"), facts))
     articles = cut_lineage(wiki_pages(wikis, titles, captured))
     wiki_log = page_log(
         articles.filter("not malformed").withColumn("has_content", has_text(F.col("content"))), ["title_no"]
@@ -114,7 +135,7 @@ def harvest(
 
     # Link route: the start is the docs root where discovery is on.
     linked = routed.filter("route = 'links'")
-    roots = find_docs_roots(linked.filter("discover").select("crawl_id", "url"), captured)
+    roots = find_docs_roots(linked.filter("discover").select("crawl_id", "url"), facts)
     started = linked.join(roots.select("crawl_id", "docs_root"), "crawl_id", "left").withColumn(
         "url", F.coalesce("docs_root", "url")
     )

@@ -12,13 +12,13 @@ class NotAWiki(ValueError):
     """A request asked for a wiki crawl of a site that is none."""
 
 
-def wiki_facts(requests: DataFrame, captured: DataFrame) -> DataFrame:
+def wiki_facts(requests: DataFrame, advertised: DataFrame, captured: DataFrame) -> DataFrame:
     """Endpoint and site info of every request that may take the wiki route.
 
     ``generator`` is null where the API gave no usable answer.
     """
     asked = requests.filter(F.col("strategy").isin("auto", "mediawiki")).select("crawl_id", "url")
-    apis = derive_api(asked, captured)
+    apis = derive_api(asked, advertised)
     known = site_info(apis.select("crawl_id", "api_url"), captured).drop("api_url")
     return apis.join(known, "crawl_id", "left").select("crawl_id", "api_url", "generator", "server", "articlepath")
 

@@ -14,6 +14,8 @@ def build_session(app: str = "sitelode", master: str | None = None, shuffle_part
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small shuffles keep enough partitions for work that is heavy per row; big ones are unaffected.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

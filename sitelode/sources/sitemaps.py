@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.links import robots_sitemaps, sitemap_locs
+from ..functions.links import named_sitemaps, sitemap_locs
 from ..functions.text import SPACE
 from ..functions.urls import default_prefix, netloc, site_root, without_fragment
 from ..operators.fetch import is_success
@@ -24,52 +24,57 @@ def looks_like_sitemap(content_type: Column, body: Column) -> Column:
     return F.coalesce(F.contains(F.lower(content_type), F.lit("xml")), F.lit(False)) | F.coalesce(sniffed, F.lit(False))
 
 
-def robots_entries(bases: DataFrame, captured: DataFrame) -> DataFrame:
+def site_file_columns() -> list[Column]:
+    """What robots files and sitemaps say, from a capture's ``fetch_key, status, content_type, body``.
+
+    A sitemap with any ``.xml`` entry is an index and contributes no pages of its own
+    when it is a candidate.
+    """
+    success = is_success(F.col("status"))
+    is_sitemap = success & looks_like_sitemap(F.col("content_type"), F.col("body"))
+    locs = sitemap_locs(F.col("body"))
+
+    def is_xml(u: Column) -> Column:
+        return F.lower(u).endswith(".xml")
+
+    return [
+        F.when(success & F.col("fetch_key").endswith("/robots.txt"), named_sitemaps(F.col("body"))).alias("named"),
+        F.when(is_sitemap, F.filter(locs, is_xml)).alias("children"),
+        F.when(is_sitemap, F.filter(locs, lambda u: ~is_xml(u))).alias("pages"),
+    ]
+
+
+def site_files(captured: DataFrame) -> DataFrame:
+    """Robots files and sitemaps in one scan: ``(fetch_key, named, children, pages)``.
+
+    ``named`` is null for all but robots files, the other two for all but sitemaps.
+    Bodies stop here; nothing after carries them.
+    """
+    return captured.select("fetch_key", *site_file_columns()).filter("named is not null or pages is not null")
+
+
+def robots_entries(bases: DataFrame, files: DataFrame) -> DataFrame:
     """Sitemaps named by each site's robots.txt: ``(crawl_id, pos, url)``."""
-    robots = captured.filter(F.col("fetch_key").endswith("/robots.txt") & is_success(F.col("status"))).select(
-        "fetch_key", robots_sitemaps(F.col("body")).alias("named")
-    )
     wanted = bases.select("crawl_id", F.concat(site_root(F.col("url")), F.lit("/robots.txt")).alias("fetch_key"))
-    return wanted.join(robots, "fetch_key").select("crawl_id", F.posexplode("named").alias("pos", "url"))
+    named = files.filter("named is not null").select("fetch_key", "named")
+    return wanted.join(named, "fetch_key").select("crawl_id", F.posexplode("named").alias("pos", "url"))
 
 
-def sitemap_candidates(bases: DataFrame, captured: DataFrame) -> DataFrame:
+def sitemap_candidates(bases: DataFrame, files: DataFrame) -> DataFrame:
     """Robots entries, then the conventional path, each once at its first position."""
     conventional = bases.select(
         "crawl_id",
         F.lit(_CONVENTIONAL).alias("pos"),
         F.concat(site_root(F.col("url")), F.lit("/sitemap.xml")).alias("url"),
     )
-    every = robots_entries(bases, captured).unionByName(conventional)
+    every = robots_entries(bases, files).unionByName(conventional)
     return every.groupBy("crawl_id", "url").agg(F.min("pos").alias("pos"))
 
 
-def sitemap_files(captured: DataFrame) -> DataFrame:
-    """Every capture accepted as a sitemap, as lists of child sitemaps and pages.
-
-    A file with any ``.xml`` entry is an index and contributes no pages of its own
-    when it is a candidate. Bodies stop here; nothing after carries them.
-    """
-
-    def is_xml(u: Column) -> Column:
-        return F.lower(u).endswith(".xml")
-
-    return (
-        captured.filter(is_success(F.col("status")) & looks_like_sitemap(F.col("content_type"), F.col("body")))
-        .select("fetch_key", sitemap_locs(F.col("body")).alias("locs"))
-        .select(
-            "fetch_key",
-            F.filter("locs", is_xml).alias("children"),
-            F.filter("locs", lambda u: ~is_xml(u)).alias("pages"),
-        )
-        .withColumn("n_pages", F.size("pages"))
-    )
-
-
 def _documents(candidates: DataFrame, files: DataFrame, max_sitemaps: int) -> DataFrame:
     """Documents that contribute pages: ``(crawl_id, pos, sub_pos, fetch_key)``."""
     entries = candidates.withColumn("fetch_key", without_fragment(F.col("url"))).join(
-        files.select("fetch_key", "children"), "fetch_key"
+        files.filter("children is not null").select("fetch_key", "children"), "fetch_key"
     )
     flat = entries.filter(F.size("children") == 0).select("crawl_id", "pos", F.lit(-1).alias("sub_pos"), "fetch_key")
     # The cap counts attempts over all candidates of a crawl, so no file needs more than the cap.
@@ -85,26 +90,24 @@ def _documents(candidates: DataFrame, files: DataFrame, max_sitemaps: int) -> Da
     return flat.unionByName(subs)
 
 
-def find_sitemap_urls(bases: DataFrame, captured: DataFrame, max_sitemaps: int = MAX_SITEMAPS) -> DataFrame:
+def find_sitemap_urls(bases: DataFrame, files: DataFrame, max_sitemaps: int = MAX_SITEMAPS) -> DataFrame:
     """Page URLs of each crawl's sitemap: ``(crawl_id, pos, sub_pos, loc_pos, url)``.
 
     The first candidate that yields pages wins; its order is (pos, sub_pos, loc_pos)
-    and repeated URLs stay. ``bases`` holds one ``(crawl_id, url)`` per crawl.
+    and repeated URLs stay. ``bases`` holds one ``(crawl_id, url)`` per crawl and
+    ``files`` is a stored ``site_files`` table, which is read several times.
     """
-    files = cut_lineage(sitemap_files(captured))
-    documents = _documents(sitemap_candidates(bases, captured), files, max_sitemaps)
-    productive = documents.join(files.filter("n_pages > 0"), "fetch_key").select(
-        "crawl_id", "pos", "sub_pos", "pages"
-    )
+    documents = cut_lineage(_documents(sitemap_candidates(bases, files), files, max_sitemaps))
+    productive = documents.join(files.filter(F.size("pages") > 0).select("fetch_key", "pages"), "fetch_key")
     winner = productive.groupBy("crawl_id").agg(F.min("pos").alias("pos"))
     return productive.join(winner, ["crawl_id", "pos"], "left_semi").select(
         "crawl_id", "pos", "sub_pos", F.posexplode("pages").alias("loc_pos", "url")
     )
 
 
-def sitemap_pages(requests: DataFrame, captured: DataFrame, max_sitemaps: int = MAX_SITEMAPS) -> DataFrame:
+def sitemap_pages(requests: DataFrame, files: DataFrame, max_sitemaps: int = MAX_SITEMAPS) -> DataFrame:
     """Sitemap URLs inside each request's own scope; the scope never changes which source wins."""
-    found = find_sitemap_urls(requests.select("crawl_id", "url"), captured, max_sitemaps)
+    found = find_sitemap_urls(requests.select("crawl_id", "url"), files, max_sitemaps)
     scope = requests.select(
         "crawl_id",
         netloc(F.col("url")).alias("host"),

@@ -6,6 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import CRAWL_REQUESTS, RESPONSES
 
+_SPLIT_BYTES = 128 * 1024 * 1024  # Spark's default split
+
+
+def read_table(spark: SparkSession, location: str) -> DataFrame:
+    """A parquet table, spread over all cores when it is too small to have a split for each.
+
+    Page text is costly to work on, and one small file would keep all of it in one
+    task. A table of more than one split per core is read as it is, with no shuffle.
+    """
+    table = spark.read.parquet(location)
+    cores = spark.sparkContext.defaultParallelism
+    estimate = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return table.repartition(cores) if estimate < cores * _SPLIT_BYTES else table
+
 
 def read_responses(spark: SparkSession, location: str, format: str = "parquet") -> DataFrame:
     """Captured responses as a batch table, with a declared schema."""

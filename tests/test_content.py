@@ -105,7 +105,7 @@ def test_endpoints_and_site_info(spark):
     bases = [("a", "https://a.example/wiki/X"), ("b", "https://b.example"), ("c", "https://c.example/x/api.php/?q"), ("d", "https://d.example/")]
     frame = spark.createDataFrame(bases, "crawl_id string, url string")
     captured = fetch.captures(spark.createDataFrame(rows, schemas.RESPONSES))
-    apis = {r.crawl_id: r.api_url for r in wiki.derive_api(frame, captured).collect()}
+    apis = {r.crawl_id: r.api_url for r in wiki.derive_api(frame, wiki.advertised_endpoints(captured)).collect()}
     assert apis == {"a": "https://a.example/w/api.php", "b": "https://b.example/api.php", "c": "https://c.example/x/api.php/", "d": "https://d.example/api.php"}
     found = wiki.with_server(wiki.detect_wikis(frame.replace("https://c.example/x/api.php/?q", "https://c.example/x/api.php?q"), captured))
     assert {r.crawl_id: (r.server, r.articlepath) for r in found.collect()} == {

@@ -146,7 +146,9 @@ def urlset(*locs):
 
 
 def sitemap_of(spark, rows, base="https://h.example/docs/"):
-    found = sitemaps.find_sitemap_urls(spark.createDataFrame([("x", base)], "crawl_id string, url string"), captured(spark, rows))
+    found = sitemaps.find_sitemap_urls(
+        spark.createDataFrame([("x", base)], "crawl_id string, url string"), sitemaps.site_files(captured(spark, rows))
+    )
     return [r.url for r in found.orderBy("pos", "sub_pos", "loc_pos").collect()]
 
 
@@ -178,7 +180,7 @@ def test_scope_is_applied_after_the_source_is_chosen(spark):
     h = "https://h.example/"
     rows = [page(h + "robots.txt", f"Sitemap: {h}c.xml"), page(h + "c.xml", urlset(h + "blog/a", h + "blog/z")),
             page(h + "sitemap.xml", urlset(h + "docs/a"))]
-    got = sitemaps.sitemap_pages(parsed, captured(spark, rows)).collect()
+    got = sitemaps.sitemap_pages(parsed, sitemaps.site_files(captured(spark, rows))).collect()
     assert [(r.crawl_id, r.url) for r in got] == [("y", h + "blog/a")]
 
 
