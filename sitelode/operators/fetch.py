@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import resolve_url, without_fragment
+from ..session import cut_lineage
 from .guard import guard_urls
 
 # Fixed value: statuses that redirect when they carry a location.
@@ -61,6 +62,8 @@ def resolve_redirects(captured: DataFrame, dns: DataFrame | None = None) -> Data
         )
     else:
         hop = hop.withColumn("guard", F.lit("ok"))
+    # Joined to itself five times over, and small: three narrow columns of the redirecting rows.
+    hop = cut_lineage(hop)
     following = hop.select(
         F.col("fetch_key").alias("final_key"), F.col("target").alias("next_key"), F.col("guard").alias("next_guard")
     )
