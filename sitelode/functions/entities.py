@@ -83,11 +83,16 @@ def _character(point: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Decode every character reference in ``text``; text without ``&`` passes through."""
-    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
-    decoded = F.transform(
-        pieces,
-        lambda t: F.when(t.startswith("&#") & (F.length(t) > 2), _numeric(t))
-        .when(t.startswith("&") & (F.length(t) > 1), _named(t))
-        .otherwise(t),
-    )
-    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
+
+    def piece(t: Column) -> Column:
+        return (
+            F.when(t.startswith("&#") & (F.length(t) > 2), _numeric(t))
+            .when(t.startswith("&") & (F.length(t) > 1), _named(t))
+            .otherwise(t)
+        )
+
+    def decoded(t: Column) -> Column:
+        return F.array_join(F.transform(F.regexp_extract_all(t, F.lit(_PIECES), F.lit(0)), piece), "")
+
+    # The text is often the end of a long chain of replacements, which must run once only.
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))

@@ -79,7 +79,7 @@ def has_content(html: Column) -> Column:
 def _element_text(html: Column, name: str) -> Column:
     inner = F.regexp_extract(html, rf"(?is)<{name}\b[^>]*>(.*?)</{name}\s*>", 1)
     plain = F.regexp_replace(F.regexp_replace(inner, r"<[^>]*>", ""), r"[ \t\r\n\f]+", " ")
-    return F.nullif(strip(decode_entities(plain)), F.lit(""))
+    return let(strip(decode_entities(plain)), lambda t: F.when(t != "", t))
 
 
 def page_title(html: Column) -> Column:
@@ -95,13 +95,18 @@ def tag_attribute(tag: Column, name: str) -> Column:
 
 def page_description(html: Column) -> Column:
     """Content of the description meta tag (plain or Open Graph), else empty."""
-    metas = F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*>"), F.lit(0))
 
-    def named(attribute: str, value: str) -> Column:
+    def named(metas: Column, attribute: str, value: str) -> Column:
         tag = F.try_element_at(F.filter(metas, lambda m: F.lower(tag_attribute(m, attribute)) == value), F.lit(1))
-        return F.nullif(strip(decode_entities(tag_attribute(tag, "content"))), F.lit(""))
+        content = let(tag, lambda t: strip(decode_entities(tag_attribute(t, "content"))))
+        return let(content, lambda c: F.when(c != "", c))
 
-    return F.coalesce(named("name", "description"), named("property", "og:description"), F.lit(""))
+    def best(metas: Column) -> Column:
+        return F.coalesce(named(metas, "name", "description"), named(metas, "property", "og:description"), F.lit(""))
+
+    # Tags that cannot be either one are sorted out while they are collected.
+    tags = F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*description[^>]*>"), F.lit(0))
+    return let(tags, best)
 
 
 def extract_columns(pages: DataFrame, body: str = "body") -> DataFrame:

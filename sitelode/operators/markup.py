@@ -60,7 +60,7 @@ class _Markdown(HTMLParser):
             return
         if tag in ("ul", "ol"):
             self.lists.append(1 if tag == "ol" else None)
-            self.out.append("\n" if len(self.lists) > 1 else "\n\n")
+            self.out.append("" if len(self.lists) > 1 else "\n\n")
         elif tag == "li":
             depth = max(len(self.lists) - 1, 0)
             number = self.lists[-1] if self.lists else None
