@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 
 def build_session(app: str = "sitelode", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings the jobs in this package are written for."""
@@ -26,7 +30,25 @@ def build_session(app: str = "sitelode", master: str | None = None, shuffle_part
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application.
+
+    The jobs that run Python need it wherever their tasks run; Spark distributes the archive.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp(prefix="sitelode-")) / package.name), "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
