@@ -5,13 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import language, repetition, simhash
+from .sampling import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules by repetition coverage, of every document."""
+    judged = _table(spark, sf_dir, "documents").select("doc_id", repetition.repetition(F.col("text")).alias("r"))
+    return judged.select("doc_id", "r.*")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = language.fit(documents.where(~held_out), "text", "lang", F.col("doc_id"))
+    predicted = language.predict(F.col("text"), model)
+    return documents.select("doc_id", held_out.alias("held_out"), predicted.alias("p")).select("doc_id", "held_out", "p.*")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies by SimHash: fingerprint and component of every document."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -19,6 +35,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_repetition": op3_repetition,
+    "op6_language": op6_language,
     "op8_simhash": op8_simhash,
 }
 ORACLE: dict[str, str] = {}

@@ -95,8 +95,13 @@ def steps(column: pa.Array | pa.ChunkedArray, step_bytes: int = STEP_BYTES) -> I
         before += n
 
 
-def find_words(texts: Texts) -> Words:
-    inside = ~_SPACE[texts.buffer]
+#: Bytes that are no part of a letter run: ASCII other than letters.
+NOT_LETTERS = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
+
+
+def find_words(texts: Texts, gaps: np.ndarray = _SPACE) -> Words:
+    """Runs of bytes that are not ``gaps``; a run ends with its text."""
+    inside = ~gaps[texts.buffer]
     n = len(inside)
     breaks = np.zeros(n + 1, bool)
     breaks[texts.bounds] = True
@@ -140,3 +145,9 @@ def whole_grams(found: Words, n: int) -> np.ndarray:
     """For each run of :func:`gram_hashes`, whether it lies in one text."""
     owners = found.owners()
     return owners[: max(0, len(owners) - n + 1)] == owners[n - 1 :]
+
+
+def sums_by_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` between consecutive bounds; 0 where nothing lies between."""
+    total = np.concatenate((np.zeros((1, *values.shape[1:]), np.int64), np.cumsum(values, axis=0, dtype=np.int64)))
+    return total[bounds[1:]] - total[bounds[:-1]]
