@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, repetition, simhash
+from . import language, repetition, simhash, toxicity
 from .sampling import fold
 
 
@@ -34,7 +34,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four fifths of them."""
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
+    model = toxicity.fit(documents, labels)
+    scored = documents.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
+    "op10_toxicity": op10_toxicity,
     "op3_repetition": op3_repetition,
     "op6_language": op6_language,
     "op8_simhash": op8_simhash,
