@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, repetition, simhash, toxicity
+from . import language, packing, repetition, simhash, toxicity
 from .sampling import fold
 
 
@@ -13,6 +13,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces, packed into sequences of 4096 tokens."""
+    import public_tokenizers
+
+    cut = packing.pieces(F.col("text"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+    rows = _table(spark, sf_dir, "documents").select("doc_id", F.inline(cut))
+    return packing.pack(rows, 4096, order=["doc_id", "piece", "start", "ids_crc32"])
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules by repetition coverage, of every document."""
     judged = _table(spark, sf_dir, "documents").select("doc_id", repetition.repetition(F.col("text")).alias("r"))
@@ -45,6 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op10_toxicity": op10_toxicity,
     "op3_repetition": op3_repetition,
     "op6_language": op6_language,

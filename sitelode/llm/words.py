@@ -99,11 +99,13 @@ def steps(column: pa.Array | pa.ChunkedArray, step_bytes: int = STEP_BYTES) -> I
 NOT_LETTERS = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 
 
-def find_words(texts: Texts, gaps: np.ndarray = _SPACE) -> Words:
-    """Runs of bytes that are not ``gaps``; a run ends with its text."""
+def find_words(texts: Texts, gaps: np.ndarray = _SPACE, cuts: np.ndarray | None = None) -> Words:
+    """Runs of bytes that are not ``gaps``; a run ends with its text, and before each byte marked in ``cuts``."""
     inside = ~gaps[texts.buffer]
     n = len(inside)
     breaks = np.zeros(n + 1, bool)
+    if cuts is not None:
+        breaks[:n] = cuts
     breaks[texts.bounds] = True
     before = np.zeros(n, bool)
     before[1:] = inside[:-1]
