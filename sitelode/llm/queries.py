@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, repetition, simhash, toxicity
+from . import language, lm, packing, repetition, simhash, toxicity
 from .sampling import fold
 
 
@@ -43,6 +43,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; a sixth of the training documents is where weights are learned."""
+    remainder = F.coalesce(fold(F.col("doc_id"), 7), F.lit(0))
+    role = F.when(remainder == 2, lm.HELD_OUT).when(remainder == 3, lm.DELETED).otherwise(lm.COUNTED)
+    return lm.score(_table(spark, sf_dir, "documents"), "doc_id", "text", role)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of four fifths of them."""
     documents = _table(spark, sf_dir, "documents")
@@ -55,6 +62,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op9_lm": op9_lm,
     "op10_toxicity": op10_toxicity,
     "op3_repetition": op3_repetition,
     "op6_language": op6_language,
