@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lm, packing, repetition, simhash, toxicity
+from . import language, lm, mixing, packing, repetition, simhash, toxicity
 from .sampling import fold
 
 
@@ -22,6 +22,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows, 4096, order=["doc_id", "piece", "start", "ids_crc32"])
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mixing.taken_words(mixed).withColumnRenamed("_id", "doc_id")
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules by repetition coverage, of every document."""
     judged = _table(spark, sf_dir, "documents").select("doc_id", repetition.repetition(F.col("text")).alias("r"))
@@ -64,6 +70,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op9_lm": op9_lm,
     "op10_toxicity": op10_toxicity,
+    "op2_mixing": op2_mixing,
     "op3_repetition": op3_repetition,
     "op6_language": op6_language,
     "op8_simhash": op8_simhash,
