@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lm, mixing, packing, repetition, simhash, toxicity
+from . import language, lm, mixing, packing, repetition, sharding, simhash, toxicity
 from .sampling import fold
 
 
@@ -34,6 +34,18 @@ def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "r.*")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equal numbers of rows, uniformly shuffled."""
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    narrow = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    dealt = sharding.shuffle_to_shards(narrow, 40)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
     documents = _table(spark, sf_dir, "documents")
@@ -72,6 +84,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op2_mixing": op2_mixing,
     "op3_repetition": op3_repetition,
+    "op4_sharding": op4_sharding,
     "op6_language": op6_language,
     "op8_simhash": op8_simhash,
 }
