@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lm, mixing, packing, repetition, sharding, simhash, toxicity
+from . import ann, language, lm, mixing, packing, repetition, sharding, simhash, toxicity
 from .sampling import fold
 
 
@@ -46,6 +46,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
     documents = _table(spark, sf_dir, "documents")
@@ -85,6 +90,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_repetition": op3_repetition,
     "op4_sharding": op4_sharding,
+    "op5_neighbours": op5_neighbours,
     "op6_language": op6_language,
     "op8_simhash": op8_simhash,
 }
