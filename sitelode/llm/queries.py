@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, lm, mixing, packing, repetition, sharding, simhash, toxicity
+from . import ann, language, lm, mixing, packing, repetition, sharding, simhash, suffixes, toxicity
 from .sampling import fold
 
 
@@ -60,6 +60,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", held_out.alias("held_out"), predicted.alias("p")).select("doc_id", "held_out", "p.*")
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of fifty words or more that documents repeat, with the place they repeat."""
+    return suffixes.repeated_passages(_table(spark, sf_dir, "documents")).drop("_doc")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies by SimHash: fingerprint and component of every document."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -92,6 +97,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_neighbours": op5_neighbours,
     "op6_language": op6_language,
+    "op7_suffixes": op7_suffixes,
     "op8_simhash": op8_simhash,
 }
 ORACLE: dict[str, str] = {}
