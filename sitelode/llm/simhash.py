@@ -12,6 +12,7 @@ most, whatever a bucket's size. Links are returned as stars, never as all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -22,29 +23,35 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .graph import components
+from .words import mix
 
 BITS = 64
 _CHUNK = 1 << 16
 
 
-def fingerprint_text(text: str | None, words: int = 3) -> int:
-    """Majority of the XXH64 bits of all ``words``-word shingles, A-Z lower-cased; 0 without a word."""
+def shingle_hashes(text: str | None, words: int) -> Iterator[np.ndarray]:
+    """XXH64 of all ``words``-word shingles, A-Z lower-cased, in bounded parts; a shorter text is one shingle."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) for t in tokens]) + np.arange(len(tokens))
     starts = np.concatenate(([0], ends[:-1] + 1))
     width = min(words, len(tokens))
     starts, ends = starts[: len(tokens) - width + 1].tolist(), ends[width - 1 :].tolist()
-    ones = np.zeros(BITS, np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, len(starts), _CHUNK):
-        hashes = np.array(
-            [digest(joined[a:b], 42) for a, b in zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])], ">u8"
-        )
-        ones += np.unpackbits(hashes.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
+        spans = zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])
+        yield np.array([digest(joined[a:b], 42) for a, b in spans], np.uint64)
+
+
+def fingerprint_text(text: str | None, words: int = 3) -> int:
+    """Majority of the bits of all shingles; 0 without a word."""
+    ones, n = np.zeros(BITS, np.int64), 0
+    for hashes in shingle_hashes(text, words):
+        n += len(hashes)
+        ones += np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
 def fingerprint(text: Column, words: int = 3) -> Column:
@@ -228,19 +235,168 @@ def component_table(marked: DataFrame, id_column: str, radius: int = 2, shard_si
     return placed.join(least, "_root").select("fingerprint", "component_id")
 
 
-def keep_one(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, radius: int = 2) -> DataFrame:
+@dataclass(frozen=True)
+class Similar:
+    """Near copies on ``words``-word shingles whose Jaccard similarity is ``similarity`` or more.
+
+    At 0.8 fingerprints of 64 bits differ in 10 bits on average, and hardly ever in more than
+    ``radius``. That is too wide for blocks of bits, so texts meet in a tree shard if they agree in all
+    samples of one of ``bands`` groups of ``rows`` sampled shingles; a similar pair misses all with a chance of
+    (1 - 0.8^3)^12, below 0.0002. Pairs that a tree search finds are verified on ``samples`` samples.
+    """
+
+    words: int = 5
+    similarity: float = 0.8
+    radius: int = 17
+    bands: int = 12
+    rows: int = 3
+    samples: int = 128
+    shard_size: int = 2048
+
+
+def _marks(settings: Similar):
+    """Fingerprint, band keys, one byte of each sample, and a hash of all shingles in order."""
+    rng = np.random.default_rng(3)
+    factor = rng.integers(1, 1 << 63, settings.samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def of(texts: pa.Array) -> pa.Array:
+        prints, bands, sketches, whole = [], [], [], []
+        for text in texts:
+            ones, n, digest = np.zeros(BITS, np.int64), 0, xxhash.xxh64(seed=7)
+            least = np.full(settings.samples, np.iinfo(np.uint64).max, np.uint64)
+            for hashes in shingle_hashes(text.as_py(), settings.words):
+                n += len(hashes)
+                big = hashes.astype(">u8")
+                digest.update(big.tobytes())
+                ones += np.unpackbits(big.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+                for at in range(0, len(hashes), 2048):
+                    part = mix(hashes[at : at + 2048])
+                    least = np.minimum(least, (part[:, None] * factor[None, :]).min(axis=0))
+            prints.append(int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big"))
+            whole.append(digest.intdigest())
+            used = least[: settings.bands * settings.rows].reshape(settings.bands, settings.rows)
+            key = np.zeros(settings.bands, np.uint64)
+            for i in range(settings.rows):
+                key = mix(key * np.uint64(31) + used[:, i])
+            bands.append(key.view(np.int64))
+            sketches.append(mix(least).astype(np.uint8).tobytes())
+        columns = [
+            pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
+            pa.array(sketches, pa.binary()), pa.array(np.array(whole, np.uint64).view(np.int64)),
+        ]
+        return pa.StructArray.from_arrays(columns, ["fingerprint", "bands", "sketch", "whole"])
+
+    return F.arrow_udf(of, "struct<fingerprint:bigint,bands:array<bigint>,sketch:binary,whole:bigint>")
+
+
+def _similar_stars(
+    values: list[int], nodes: np.ndarray, sketches: np.ndarray, cut: int | None, settings: Similar
+) -> list[tuple[int, int]]:
+    """Links between similar texts of one shard (``cut`` is None), or of two: those after ``cut`` ask the tree of the others."""
+    tree, parent = BKTree(), list(range(len(values)))
+    need = settings.similarity * settings.samples
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, value in enumerate(values):
+        if cut is None or i >= cut:
+            near = [j for j in tree.within(value, settings.radius) if root(j) != root(i)]
+            if near:
+                same = (sketches[near] == sketches[i]).sum(axis=1)
+                for j in np.array(near)[same >= need].tolist():
+                    parent[root(i)] = root(j)
+        if cut is None or i < cut:
+            tree.add(value)
+    return [(int(nodes[i]), int(nodes[root(i)])) for i in range(len(values)) if root(i) != i]
+
+
+def _similar_units(batches: Iterator[pa.RecordBatch], settings: Similar) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit (band, bucket, tree shard, query shard) and side, to links of texts."""
+
+    def links(unit: np.ndarray, rows: pa.Table) -> list[tuple[int, int]]:
+        bounds = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
+        side = rows["side"].to_numpy()
+        values = rows["value"].to_numpy().view(np.uint64)
+        nodes, sketches = rows["whole"].to_numpy(), rows["sketch"].combine_chunks()
+        out: list[tuple[int, int]] = []
+        for a, b in zip(bounds, bounds[1:]):
+            if b - a > 1:
+                own = np.frombuffer(b"".join(s.as_py() for s in sketches[a:b]), np.uint8).reshape(b - a, -1)
+                cut = None if unit[a, 2] == unit[a, 3] else int((side[a:b] == 0).sum())
+                out.extend(_similar_stars(values[a:b].tolist(), nodes[a:b], own, cut, settings))
+        return out
+
+    def batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    kept: pa.Table | None = None
+    for rows in batches:
+        if not rows.num_rows:
+            continue
+        now = pa.Table.from_batches([rows])
+        now = now if kept is None else pa.concat_tables([kept, now])
+        unit = np.stack([now.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
+        cut = int(np.flatnonzero((unit != unit[-1]).any(axis=1))[-1]) + 1 if (unit != unit[-1]).any() else 0
+        if cut:
+            yield batch(links(unit[:cut], now.slice(0, cut)))
+        kept = now.slice(cut)
+    if kept is not None:
+        unit = np.stack([kept.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
+        yield batch(links(unit, kept))
+
+
+def similar_links(texts: DataFrame, settings: Similar | None = None) -> DataFrame:
+    """Links ``a, b`` between distinct texts (``whole, fingerprint, bands, sketch``) that are similar."""
+    settings = settings or Similar()
+    keyed = texts.select(
+        "whole", F.col("fingerprint").alias("value"), "sketch", F.posexplode("bands").alias("part", "bucket")
+    )
+    shared = keyed.groupBy("part", "bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shards = F.ceil(F.col("n") / settings.shard_size).cast("int")
+    met = keyed.join(shared, ["part", "bucket"]).select(
+        "part", "bucket", "value", "whole", "sketch", shards.alias("shards"),
+        F.pmod(F.xxhash64("whole"), shards).cast("int").alias("shard"),
+    )
+    met = met.select("*", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("other"))
+    units = met.select(
+        "part", "bucket",
+        F.least("shard", "other").alias("tree"), F.greatest("shard", "other").alias("query"),
+        F.when(F.col("shard") <= F.col("other"), 0).otherwise(1).alias("side"), "value", "whole", "sketch",
+    )
+    unit = ["part", "bucket", "tree", "query"]
+    placed = units.repartition(*unit).sortWithinPartitions(*unit, "side", "whole")
+    return placed.mapInArrow(lambda batches: _similar_units(batches, settings), "a bigint, b bigint")
+
+
+def keep_one(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", settings: Similar | None = None
+) -> DataFrame:
     """``documents`` with one row of each group of near copies: the one with the smallest id, null ids last.
 
-    Rows that are equal in id and text are one row. Columns stay as they are, extra ones too.
+    Rows that are equal in id and text are one row, and all texts without a word, null or not, are
+    copies of each other. Columns stay as they are, extra ones too.
     """
     key = F.xxhash64(F.col(id_column), F.col(text_column))
     marked = cut_lineage(
         documents.select(
             F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), key.alias("key")).alias("_who"),
-            fingerprint(F.col(text_column), words).alias("fingerprint"),
+            _marks(settings or Similar())(F.col(text_column)).alias("m"),
+        ).select("_who", "m.*")
+    )
+    distinct = cut_lineage(
+        marked.groupBy("whole").agg(
+            F.min("_who").alias("_least"), *[F.first(c).alias(c) for c in ("fingerprint", "bands", "sketch")]
         )
     )
-    kept = component_table(marked, "_who", radius).select(F.col("component_id.key").alias("_keep")).distinct()
+    roots = components(similar_links(distinct, settings))
+    placed = distinct.select("whole", "_least").join(roots, distinct["whole"] == roots["vertex"], "left")
+    kept = placed.groupBy(F.coalesce("root", "whole").alias("_root")).agg(F.min("_least").alias("_who"))
+    kept = kept.select(F.col("_who.key").alias("_keep")).distinct()
     found = documents.select(F.struct("*").alias("_row"), key.alias("_key")).join(
         kept, F.col("_key") == F.col("_keep"), "left_semi"
     )
