@@ -106,7 +106,7 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int, width: int) -
     )
     nodes = sizes.agg(F.array_sort(F.collect_list(F.struct("part", "n"))).alias("items")).select(
         "items", total.alias("total"), F.transform(order, lambda s: s["k"]).alias("order")
-    )
+    ).where(F.size("items") > 0)
     nodes = nodes.select(
         "items",
         F.transform(
@@ -118,7 +118,7 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int, width: int) -
     level = 0
     while 1 << level < width:
         if level >= 3:
-            nodes = nodes.repartition(min(1 << level, 1024), F.col("items")[0]["part"])
+            nodes = nodes.repartition(min(1 << level, 1024), F.get("items", F.lit(0))["part"])
         half = F.ceil(F.size("items") / 2).cast("int")
         halves = nodes.select(
             "items", "room", F.slice("items", 1, half).alias("left"), F.slice("items", half + 1, F.size("items")).alias("right")
@@ -126,14 +126,14 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int, width: int) -
         count = F.aggregate("left", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
         drawn = halves.select(
             "left", "right", "room",
-            _deal(F.col("room"), count, F.concat(F.col("items")[0]["part"].cast("string"), F.lit(f"/{level}")), seed).alias("mine"),
+            _deal(F.col("room"), count, F.concat(F.get("items", F.lit(0))["part"].cast("string"), F.lit(f"/{level}")), seed).alias("mine"),
         )
         rest = F.zip_with("room", "mine", lambda r, m: r - m)
         nodes = drawn.select(
             F.explode(F.array(F.struct(F.col("left").alias("items"), F.col("mine").alias("room")), F.struct(F.col("right").alias("items"), rest.alias("room")))).alias("h")
         ).select("h.*").where(F.size("items") > 0)
         level += 1
-    return nodes.select(F.col("items")[0]["part"].alias("part"), F.col("room").alias("line"))
+    return nodes.select(F.get("items", F.lit(0))["part"].alias("part"), F.col("room").alias("line"))
 
 
 def shuffle_to_shards(rows: DataFrame, shards: int = 40, seed: int = 11, rows_per_slice: int = 50_000) -> DataFrame:
