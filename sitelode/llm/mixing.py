@@ -164,7 +164,7 @@ def mix_sources(
         F.greatest(F.col("block") * width - F.col("begin"), F.lit(0)).alias("first"),
         F.least((F.col("block") + 1) * width - F.col("begin"), F.col("size")).alias("last"),
     )
-    return Mix(texts, sources, spans.join(slots, ["_source", "block"]))
+    return Mix(texts, sources, spans.join(slots.hint("merge"), ["_source", "block"]))
 
 
 def taken_words(mixed: Mix) -> DataFrame:
