@@ -137,10 +137,16 @@ def blank_line_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def html_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetch of every listed URL, and whether it answered with a page."""
-    captured = _captures(spark, sf_dir, d.SITE_CAPTURES)
+    captured = fetch.unique_captures(_captures(spark, sf_dir, d.REPEATED_CAPTURES))
     wanted = d.derive(spark, sf_dir, d.SITE_PAGES).select("page_id", "url")
     found = fetch.lookup(wanted, captured)
-    return found.select("page_id", fetch.is_html(F.col("status"), F.col("content_type")).alias("is_page"), F.length("body").cast("bigint").alias("n_chars"))
+    return found.select("page_id", fetch.is_html(F.col("status"), F.col("content_type")).alias("is_page"), F.md5("body").alias("digest"))
+
+
+def guarded_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures that pass the address guard by scheme and host."""
+    captured = _captures(spark, sf_dir, d.GUARDED_CAPTURES)
+    return whole.drop_blocked(captured, d.derive(spark, sf_dir, d.DNS)).select("page_id", "url")
 
 
 def redirect_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +160,7 @@ def redirected_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def public_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = d.derive(spark, sf_dir, d.DNS)
+    names = d.derive(spark, sf_dir, d.ADDRESSES)
     return names.select("page_id", "host", "ip", addresses.is_public_address(F.col("ip")).alias("is_public"))
 
 
@@ -259,8 +265,10 @@ def bfs_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every visit of crawls without a page cap, by level."""
     starts = _starts(spark, sf_dir).withColumn("max_pages", F.lit(2**31 - 1))
     log = frontier.traverse(starts, _graph(spark, sf_dir))
+    digest = F.conv(F.substring(F.md5("url"), 1, 8), 16, 10).cast("bigint")
     return log.groupBy("crawl_id", F.col("depth").cast("bigint").alias("depth")).agg(
-        F.count("*").alias("n_visits"), F.count_if("has_content").alias("n_pages"), F.min("url").alias("first_url"), F.max("url").alias("last_url")
+        F.count("*").alias("n_visits"), F.count_if("has_content").alias("n_pages"), F.min("url").alias("first_url"), F.max("url").alias("last_url"),
+        F.sum(digest).alias("digest"),
     )
 
 
@@ -288,7 +296,7 @@ def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested-markup extractor over all pages."""
     rows = markup.extract_parsed(_table(spark, sf_dir, "pages").select("page_id", "html"), "html")
-    return rows.select("page_id", "title", F.length("content").cast("bigint").alias("n_chars"), F.substring_index("content", "\n", 1).alias("heading"))
+    return rows.select("page_id", "title", "description", F.length("content").cast("bigint").alias("n_chars"), F.md5("content").alias("digest"))
 
 
 def url_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,7 +355,7 @@ def wiki_page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wiki_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered articles in either reply format."""
-    found = wiki.article_html(_captures(spark, sf_dir, d.WIKI_ARTICLES))
+    found = wiki.article_html(_captures(spark, sf_dir, d.WIKI_ALL_ARTICLES))
     return found.select("fetch_key", F.length("html").cast("bigint").alias("n_chars"), F.md5("html").alias("digest"))
 
 
@@ -447,20 +455,26 @@ def progress_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written by crawl and read back."""
-    pages = d.derive(spark, sf_dir, d.SITE_PAGES).select(
-        F.col("site").alias("crawl_id"), F.col("idx").alias("page_no"), F.col("url").alias("source_url"),
-        content.page_title(F.col("html")).alias("title"), F.lit("").alias("description"), F.col("lang").alias("content"),
+    placed = d.derive(spark, sf_dir, d.SITE_PAGES).select(
+        F.col("site").alias("crawl_id"), F.col("idx").alias("page_no"), F.col("url").alias("source_url"), "html"
     )
+    pages = cut_lineage(content.extract_columns(placed, "html"))
     location = scratch_path(spark, "pages")
+    # Twice, in two halves the second time: a rerun replaces the pages of its crawls and no others.
+    first = F.pmod(F.xxhash64("crawl_id"), F.lit(2)) == 0
     tables.write_pages(pages, location)
-    read = spark.read.schema("page_no bigint, source_url string, title string, description string, content string, crawl_id string").parquet(location)
-    return read.select("crawl_id", "page_no", "source_url", "title", "description", "content")
+    tables.write_pages(pages.filter(first), location)
+    tables.write_pages(pages.filter(~first), location)
+    read = spark.read.parquet(location)
+    return read.select("crawl_id", "page_no", "source_url", "title", "description", F.md5("content").alias("digest"))
 
 
 def progress_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = scratch_path(spark, "progress")
-    tables.write_progress(progress_snapshots(spark, sf_dir), location)
-    return spark.read.parquet(location)
+    rows = cut_lineage(progress_snapshots(spark, sf_dir))
+    tables.write_progress(rows, location)
+    tables.write_progress(rows, location)
+    return spark.read.parquet(location).drop("bucket")
 
 
 def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -509,7 +523,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         page_links, url_parts, resolved_urls, decoded_entities, canonical_dedup, asset_filter, glob_filter, csv_parameters,
-        nonblank_text, blank_line_collapse, html_responses, redirect_chain, redirected_responses, public_addresses, url_guard,
+        nonblank_text, blank_line_collapse, html_responses, guarded_captures, redirect_chain, redirected_responses, public_addresses, url_guard,
         robots_sitemaps, sitemap_candidates, sitemap_files, sitemap_urls, sitemap_pages, docs_root, bfs_edges, bfs_crawl,
         bfs_visits, extracted_pages, page_metadata, parsed_pages, url_list_pages, wiki_api, wiki_siteinfo, wiki_detect,
         wiki_reply_gate, wiki_titles, wiki_page_urls, wiki_articles, wiki_pages, crawl_requests, request_rejects, route,

@@ -143,14 +143,25 @@ where hop <= page_id % 8
 """
 
 # Name records of the pages' own hosts: one address per page.
-DNS = """
+ADDRESSES = """
 select regexp_extract(url, '^https?://([^/:]+)', 1) as host, page_id,
        case when page_id % 10 = 9 then '2606:4700::' || cast(page_id % 1000 as string)
             when page_id % 50 = 18 then 'fd00::' || cast(page_id % 1000 as string)
             when page_id % 50 = 28 then '::ffff:10.0.0.' || cast(page_id % 256 as string)
             when page_id % 50 = 38 then 'not-an-address'
             else cast(page_id * 37 % 230 as string) || '.' || cast(page_id * 11 % 256 as string) || '.' || cast(page_id * 5 % 256 as string) || '.' || cast(page_id % 256 as string) end as ip
-from $pages where page_id % 4 <> 0
+from $pages
+"""
+
+# Some names have no record.
+DNS = f"select host, page_id, ip from ({ADDRESSES}) a where page_id % 4 <> 0"
+
+# Captures of URLs that the address guard has to judge: other schemes, no host, literals of both kinds.
+GUARDED_CAPTURES = """
+select page_id, case page_id % 10 when 1 then regexp_replace(url, '^https?', 'ftp') when 2 then 'https:///nowhere' when 3 then 'http://10.1.2.3/x'
+                     when 4 then 'http://u:p@[2606:4700::1]:80/x' when 5 then 'http://[::1]/x' when 6 then 'https://[FD00::1]:8443/x' else url end as url,
+       200 as status, 'text/html' as content_type, html as body, cast(null as string) as location, 10 as elapsed_ms
+from $pages
 """
 
 # Documents as wiki articles: titles, listing batches of 20, site info and rendered articles.
@@ -170,8 +181,11 @@ select distinct wiki, wiki_no, api_url from ({WIKI_DOCS}) d
 
 _LISTING = "action=query&list=allpages&apnamespace=0&aplimit=20&format=json"
 
+# Some wikis were also asked for five titles at a time; those replies lead nowhere.
 WIKI_LISTINGS = f"""
 with d as ({WIKI_DOCS}),
+few as (select api_url, max(wiki_no) as wiki_no, count(*) as n, AGG[case when idx < 5 then '{{"pageid":' || cast(doc_id as string) || ',"title":"' || title || '"}}' else '' end; idx] as entries
+        from d group by api_url),
 b as (select api_url, wiki_no, cast(floor(idx / 20.0) as bigint) as batch, AGG['{{"pageid":' || cast(doc_id as string) || ',"title":"' || title || '"}}'; idx] as entries
       from d group by api_url, wiki_no, cast(floor(idx / 20.0) as bigint))
 select b.api_url || '?{_LISTING}' || case when b.batch > 0 then '&apcontinue=B+' || cast(b.batch as string) || '&continue=-%7C%7C' else '' end as url,
@@ -180,6 +194,11 @@ select b.api_url || '?{_LISTING}' || case when b.batch > 0 then '&apcontinue=B+'
          || '"query":{{"allpages":[' || replace(b.entries, '}}{{', '}},{{') || ']}}}}' as body,
        cast(null as string) as location, 20 as elapsed_ms
 from b left join b n on n.api_url = b.api_url and n.batch = b.batch + 1
+union all
+select api_url || '?' || replace('{_LISTING}', '=20', '=5'), 200, 'application/json',
+       '{{' || case when n > 5 then '"continue":{{"continue":"-||","apcontinue":"F 5"}},' else '' end
+         || '"query":{{"allpages":[' || replace(entries, '}}{{', '}},{{') || ']}}}}', cast(null as string), 20
+from few where wiki_no % 2 = 1
 """
 
 WIKI_SITEINFO = f"""
@@ -204,16 +223,19 @@ from ({WIKI_SITES}) s
 
 _JSON_TEXT = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '\"', '&quot;'), chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')"
 
-WIKI_ARTICLES = f"""
-select api_url || '?action=parse&page=' || replace(replace(replace(replace(replace(replace(title, ' ', '+'), '/', '%2F'), ':', '%3A'), '*', '%2A'), 'é', '%C3%A9'), '$', '%24') || '&prop=text&formatversion=2&format=json' as url,
+WIKI_ALL_ARTICLES = f"""
+select doc_id, api_url || '?action=parse&page=' || replace(replace(replace(replace(replace(replace(title, ' ', '+'), '/', '%2F'), ':', '%3A'), '*', '%2A'), 'é', '%C3%A9'), '$', '%24') || '&prop=text&formatversion=2&format=json' as url,
        200 as status, 'application/json' as content_type,
        '{{"parse":{{"title":"x","text":' || case when doc_id % 2 = 0 then '{{"*":' else '' end
          || '"<div class=' || chr(92) || '"mw-parser-output' || chr(92) || '"><h2>Text<span class=mw-editsection>[<a>edit</a>]</span></h2><table class=''x infobox''><tr><td><b>noise</b></td></tr></table><p>'
          || {_JSON_TEXT.format('text')} || '</p><style>p</style></div>"' || case when doc_id % 2 = 0 then '}}' else '' end || '}}}}' as body,
        cast(null as string) as location, 30 as elapsed_ms
-from ({WIKI_DOCS}) d where doc_id % 19 <> 11
+from ({WIKI_DOCS}) d
 """
 
+# Some articles were not captured.
+WIKI_ARTICLES = f"select url, status, content_type, body, location, elapsed_ms from ({WIKI_ALL_ARTICLES}) every_article where doc_id % 19 <> 11"
+
 WIKI_CAPTURES = f"""
 {WIKI_LISTINGS}
 union all select url, status, content_type, body, location, elapsed_ms from ({WIKI_SITEINFO}) i
@@ -227,6 +249,13 @@ select wiki as crawl_id, case when wiki_no % 3 = 2 then api_url || '?x=1' else '
 from ({WIKI_SITES}) s
 """
 
+# Captures of several days: some pages were captured again, with another body or another fragment.
+REPEATED_CAPTURES = f"""
+select url, status, content_type, body, location, elapsed_ms from ({SITE_CAPTURES}) s
+union all select regexp_replace(url, '#.*$', '') || '#again', status, content_type, '<p>older</p>' || body, location, elapsed_ms + 1 from ({SITE_CAPTURES}) o where elapsed_ms % 3 = 1
+union all select url, status, content_type, body, location, elapsed_ms from ({SITE_CAPTURES}) e where elapsed_ms % 5 = 0
+"""
+
 # Fetch logs of crawls, for caps and progress: every page is one visit.
 FETCH_LOG = f"""
 select site as crawl_id, idx as visit, status = 200 and not is_blank as has_content, cast(elapsed_ms as bigint) as elapsed_ms,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from ..functions.text import has_text, strip
 # Elements dropped whole, wherever they stand and inside the main region.
 DROPPED_EVERYWHERE = ("script", "style", "noscript", "template", "svg")
 DROPPED_IN_REGION = ("nav", "header", "footer", "aside", "form", "button")
+# A tag, and not any "<" of the text.
+_TAG = "<[A-Za-z/!?][^>]*>"
 # Elements that hold the main content, best first.
 REGIONS = ("article", "main", "body")
 _BLOCKS = "p|div|section|article|main|ul|ol|dl|dt|dd|table|tr|blockquote|pre|figure|figcaption|details|summary"
@@ -25,12 +28,16 @@ def _drop(html: Column, names: tuple[str, ...], also: str = "") -> Column:
 
 
 def main_region(html: Column) -> Column:
-    """Inner HTML of the first article, else main, else body element, else the whole text."""
+    """Inner HTML from the first to the last article, else main, else body element, else the whole text.
+
+    A header stays where it holds a heading. Patterns cannot follow nesting of elements that are
+    dropped; ``extract_parsed`` does.
+    """
 
     def region(clean: Column) -> Column:
         found = [
             let(
-                F.regexp_extract(clean, rf"(?is)<{name}\b[^>]*>(.*?)(?:</{name}\s*>|\z)", 1),
+                F.regexp_extract(clean, rf"(?is)<{name}\b[^>]*>(.*)</{name}\s*>", 1),
                 lambda inner: F.when(inner != "", inner),
             )
             for name in REGIONS
@@ -38,11 +45,23 @@ def main_region(html: Column) -> Column:
         return F.coalesce(*found, clean)
 
     clean = _drop(html, DROPPED_EVERYWHERE, "|<!--.*?-->")
-    return _drop(let(clean, region), DROPPED_IN_REGION)
+    kept = _drop(let(clean, region), tuple(n for n in DROPPED_IN_REGION if n != "header"))
+    return F.regexp_replace(kept, r"(?is)<header\b[^>]*>[^<]*+(?:<(?!h[1-6]\b|/header\b)[^<]*+)*+</header\s*>", "")
 
 
 def to_markdown(region: Column) -> Column:
-    """Headings, list items, emphasis and paragraphs as markdown; all other tags go."""
+    """Headings, list items, emphasis, table cells, code blocks and paragraphs as markdown; all other tags go."""
+    parts = F.split(region, r"(?i)(?=<pre\b)|(?<=</pre>)")
+    written = F.transform(parts, lambda p: F.when(p.rlike(r"(?i)\A<pre\b"), _code_block(p)).otherwise(_flow(p)))
+    return strip(F.array_join(written, ""))
+
+
+def _code_block(pre: Column) -> Column:
+    code = decode_entities(F.regexp_replace(pre, _TAG, ""))
+    return F.concat(F.lit("\n\n```\n"), F.regexp_replace(code, r"\A[\r\n]+|\s+\z", ""), F.lit("\n```\n\n"))
+
+
+def _flow(region: Column) -> Column:
     text = F.regexp_replace(region, r"[ \t\r\n\f]{2,}|[\t\r\n\f]", " ")
     text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*>", "\n\n<#$1>")
     for level in range(1, 7):
@@ -50,10 +69,11 @@ def to_markdown(region: Column) -> Column:
     text = F.regexp_replace(text, r"(?i)<li\b[^>]*>", "\n- ")
     text = F.regexp_replace(text, r"(?i)<br\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"(?i)<(?:b|strong)\b[^>]*>([^<]*)</(?:b|strong)\s*>", "**$1**")
+    text = F.regexp_replace(text, r"(?i)</t[dh]\s*>\s*(?=<t[dh]\b)", " | ")
     text = F.regexp_replace(text, rf"(?i)</?(?:{_BLOCKS})\b[^>]*>|</h[1-6]\s*>", "\n\n")
-    text = decode_entities(F.regexp_replace(text, r"<[^>]*>", ""))
+    text = decode_entities(F.regexp_replace(text, _TAG, ""))
     text = F.regexp_replace(text, r" *\n *(?:\n *)+", "\n\n")
-    return strip(F.regexp_replace(text, r" +\n *|\n +", "\n"))
+    return F.regexp_replace(text, r" +\n *|\n +", "\n")
 
 
 def page_content(html: Column) -> Column:
@@ -66,8 +86,8 @@ def has_content(html: Column) -> Column:
 
     def shows(region: Column) -> Column:
         # A list item or heading leaves its mark even when empty.
-        marked = region.rlike(r"(?i)<(?:li|h[1-6])\b[^>]*>")
-        return marked | let(F.regexp_replace(region, r"<[^>]*>", ""), visible)
+        marked = region.rlike(r"(?i)<(?:li|h[1-6]|pre)\b[^>]*>|</t[dh]\s*>\s*<t[dh]\b")
+        return marked | let(F.regexp_replace(region, _TAG, ""), visible)
 
     def visible(plain: Column) -> Column:
         # Text before the first reference settles most pages without decoding.
@@ -121,5 +141,20 @@ def extract_columns(pages: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-# A caller may pass its own extractor: a DataFrame to DataFrame step that adds the three columns.
-Extractor = Callable[[DataFrame], DataFrame]
+@dataclass(frozen=True)
+class Extractor:
+    """How pages are read, with the rule that tells from a body alone whether there is content to read.
+
+    ``read`` adds ``title``, ``description`` and ``content`` to rows with a ``body``. ``status`` gives, from a body,
+    ``content``, ``blank`` or ``malformed``; only pages of the first kind are counted and read.
+    """
+
+    read: Callable[[DataFrame], DataFrame]
+    status: Callable[[Column], Column]
+
+
+def column_status(html: Column) -> Column:
+    return F.when(has_content(html), F.lit("content")).otherwise(F.lit("blank"))
+
+
+COLUMNS = Extractor(extract_columns, column_status)

@@ -29,10 +29,26 @@ def captures(responses: DataFrame) -> DataFrame:
     return responses.withColumn("fetch_key", without_fragment(F.col("url")))
 
 
-def unique_captures(captured: DataFrame) -> DataFrame:
-    """One capture per fetch key, the first URL in order. Only narrow columns are grouped."""
-    first = captured.groupBy("fetch_key").agg(F.min("url").alias("url"))
-    return captured.join(first, ["fetch_key", "url"], "left_semi")
+def unique_captures(captured: DataFrame, captured_at: str | None = None) -> DataFrame:
+    """One capture per fetch key: the latest by ``captured_at``, if the table has such a column, else the first in order.
+
+    The order is by URL, status, type, location, digest of the body and time taken, so it is
+    total but for rows that are equal. Keys are counted without bodies; only captures of repeated
+    keys are compared, and all others pass.
+    """
+    repeated = captured.groupBy("fetch_key").agg(F.count("*").alias("_n")).where("_n > 1").select("fetch_key")
+    repeated = cut_lineage(repeated)
+    content = ("url", "status", "content_type", "location")
+    rank = F.struct(
+        *([(-F.unix_micros(F.col(captured_at))).alias("at")] if captured_at else []),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in content],
+        F.md5(F.coalesce("body", F.lit(""))).alias("digest"),
+        F.coalesce("elapsed_ms", F.lit(0)).alias("elapsed"),
+    )
+    several = captured.join(repeated, "fetch_key", "left_semi").withColumn("_rank", rank)
+    best = several.groupBy("fetch_key").agg(F.min("_rank").alias("_rank"))
+    chosen = several.join(best, ["fetch_key", "_rank"], "left_semi").drop("_rank").dropDuplicates(["fetch_key"])
+    return captured.join(repeated, "fetch_key", "left_anti").unionByName(chosen)
 
 
 def lookup(wanted: DataFrame, captured: DataFrame, url: str = "url", how: str = "left") -> DataFrame:
@@ -93,8 +109,8 @@ def follow_redirects(captured: DataFrame, dns: DataFrame | None = None) -> DataF
     """Captures as a client sees them: redirecting URLs answer with their final page.
 
     The URL stays the requested one, and elapsed time is that of the final page.
-    Only the final pages of redirects are joined; all other captures pass through
-    without a shuffle.
+    All other captures pass as they are. The join is by key, so where the table of
+    redirects is too big to broadcast, the captured bodies are shuffled once.
     """
     plain = captured.filter(~F.coalesce(_is_redirect(), F.lit(False)))
     answers = resolve_redirects(captured, dns).filter("verdict = 'ok'")

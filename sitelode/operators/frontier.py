@@ -15,29 +15,37 @@ from pyspark.sql import functions as F
 
 from ..functions.links import extract_links
 from ..functions.urls import canonical_url, netloc, without_fragment
-from ..session import cut_lineage
-from .content import has_content as default_has_content
+from ..session import store_columns
+from .content import COLUMNS, Extractor
 from .fetch import is_html
 from .scope import in_scope
 
 
-def graph_columns(has_content: Column | None = None) -> list[Column]:
+def graph_columns(extractor: Extractor = COLUMNS) -> list[Column]:
     """What traversal needs of a capture, from its ``fetch_key, status, content_type, body``.
 
     Links of a blank page are kept, since blank pages are followed but not emitted.
     """
     page = is_html(F.col("status"), F.col("content_type"))
-    content = default_has_content(F.col("body")) if has_content is None else has_content
     return [
         page.alias("is_page"),
-        F.when(page, F.coalesce(content, F.lit(False))).otherwise(F.lit(False)).alias("has_content"),
+        F.when(page, extractor.status(F.col("body"))).alias("content_status"),
         F.when(page, extract_links(F.col("body"), F.col("fetch_key"))).alias("links"),
     ]
 
 
-def link_graph(captured: DataFrame, has_content: Column | None = None) -> DataFrame:
-    """The captures without their bodies: one scan serves all levels of a traversal."""
-    return captured.select("fetch_key", "elapsed_ms", *graph_columns(has_content))
+def link_graph(captured: DataFrame, extractor: Extractor = COLUMNS) -> DataFrame:
+    """The captures without their bodies: one scan serves all levels of a traversal.
+
+    Rows are placed by key, so that a stored graph is joined level after level where it lies.
+    """
+    narrow = captured.select("fetch_key", "elapsed_ms", *graph_columns(extractor))
+    return with_content_flag(narrow).repartition("fetch_key")
+
+
+def with_content_flag(facts: DataFrame) -> DataFrame:
+    """``has_content`` from the status an extractor gave."""
+    return facts.withColumn("has_content", F.coalesce(F.col("content_status") == "content", F.lit(False)))
 
 
 def link_edges(graph: DataFrame) -> DataFrame:
@@ -78,7 +86,8 @@ def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
     ``starts`` holds ``crawl_id, url, path_prefix, include_regex, exclude_regex,
     max_pages, max_depth``, one row per crawl. The graph is joined once per level;
     a crawl that has enough pages stops after the level that completed it, which
-    may log visits past its cap but never too few.
+    may log visits past its cap but never too few. Levels are stored by column: what tells
+    visited keys and counts pages does not read the links again.
     """
     level = starts.select(
         "crawl_id",
@@ -98,10 +107,11 @@ def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
     levels: list[DataFrame] = []
     expand = _link_step()
     for depth in range(deepest + 1):
-        hits = cut_lineage(
-            level.withColumn("fetch_key", without_fragment(F.col("url"))).join(pages, "fetch_key", "left").drop("fetch_key")
+        hits = store_columns(
+            level.withColumn("fetch_key", without_fragment(F.col("url"))).join(pages, "fetch_key", "left").drop("fetch_key"),
+            "level",
         )
-        levels.append(hits)
+        levels.append(hits.drop("links"))
         if depth == deepest or hits.isEmpty():
             break
         visited = reduce(DataFrame.unionByName, levels)

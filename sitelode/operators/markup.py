@@ -12,11 +12,11 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .content import DROPPED_EVERYWHERE, DROPPED_IN_REGION, main_region, page_description, page_title
+from .content import DROPPED_EVERYWHERE, DROPPED_IN_REGION, REGIONS, Extractor, page_description, page_title
 
 # Fixed value: classes that mark page furniture in wiki articles, matched as whole tokens.
 NOISE_CLASSES = (
@@ -24,6 +24,7 @@ NOISE_CLASSES = (
     "mw-empty-elt", "toc", "mw-jump-link", "printfooter",
 )
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_HEADINGS = {f"h{n}" for n in range(1, 7)}
 _BLOCKS = ("p", "div", "section", "article", "main", "dl", "figure")
 _EMPHASIS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`", "del": "~~", "s": "~~"}
 _OPENERS = {
@@ -39,8 +40,12 @@ _CLOSERS = {
 class _Markdown(HTMLParser):
     """Collects markdown, skipping dropped elements together with everything inside them."""
 
-    def __init__(self, dropped_tags: tuple[str, ...], dropped_classes: tuple[str, ...], bullets: str, escape: bool):
+    def __init__(self, dropped_tags: tuple[str, ...], dropped_classes: tuple[str, ...], bullets: str, escape: bool, regions: tuple[str, ...]):
         super().__init__(convert_charrefs=True)
+        # Where the outermost elements of each region begin and end in the output; the last may be open.
+        self.regions: dict[str, list[list[int]]] = {name: [] for name in regions}
+        self.depth = dict.fromkeys(regions, 0)
+        self.headers: list[list] = []  # open headers: where they begin, and whether they hold a heading
         self.dropped_tags, self.dropped_classes = set(dropped_tags), set(dropped_classes)
         self.bullets, self.escape = bullets, escape
         self.out: list[str] = []
@@ -58,6 +63,15 @@ class _Markdown(HTMLParser):
             self.skipping += drop
         if self.skipping or drop:
             return
+        if tag in self.depth:
+            if not self.depth[tag]:
+                self.regions[tag].append([len(self.out), -1])
+            self.depth[tag] += 1
+        if tag == "header":
+            self.headers.append([len(self.out), False])
+        elif tag in _HEADINGS:
+            for header in self.headers:
+                header[1] = True
         if tag in ("ul", "ol"):
             self.lists.append(1 if tag == "ol" else None)
             self.out.append("" if len(self.lists) > 1 else "\n\n")
@@ -95,6 +109,17 @@ class _Markdown(HTMLParser):
                 self.skipping -= dropped
         if was_skipping:
             return
+        if self.depth.get(tag):
+            self.depth[tag] -= 1
+            if not self.depth[tag]:
+                self.out.append("\n\n")
+                self.regions[tag][-1][1] = len(self.out)
+                return
+        if tag == "header" and self.headers and self.regions:
+            begin, holds_heading = self.headers.pop()
+            if not holds_heading:
+                # Page furniture. What it said goes, but places of regions stay valid.
+                self.out[begin:] = [""] * (len(self.out) - begin)
         if tag in ("ul", "ol") and self.lists:
             self.lists.pop()
             self.out.append("" if self.lists else "\n\n")
@@ -122,7 +147,16 @@ class _Markdown(HTMLParser):
         self.out.append(data)
 
     def text(self) -> str:
-        joined = re.sub(r"(?<=\S)[ \t](?=\n)", "", "".join(self.out))
+        """All of the output, or the first kind of region that says something."""
+        for spans in self.regions.values():
+            inside = "".join("".join(self.out[a : b if b >= 0 else None]) for a, b in spans)
+            if inside.strip():
+                return self._tidy(inside)
+        return self._tidy("".join(self.out))
+
+    @staticmethod
+    def _tidy(text: str) -> str:
+        joined = re.sub(r"(?<=\S)[ \t](?=\n)", "", text)
         joined = re.sub(r"^[ \t]+$", "", joined, flags=re.M)
         joined = re.sub(r"\n (?=[^ \n])", "\n", joined)
         return re.sub(r"\n{3,}", "\n\n", joined).strip()
@@ -134,8 +168,9 @@ def markdown_of(
     dropped_classes: tuple[str, ...] = (),
     bullets: str = "-",
     escape: bool = False,
+    regions: tuple[str, ...] = (),
 ) -> str:
-    parser = _Markdown(dropped_tags, dropped_classes, bullets, escape)
+    parser = _Markdown(dropped_tags, dropped_classes, bullets, escape, regions)
     parser.feed(html or "")
     parser.close()
     return parser.text()
@@ -165,11 +200,34 @@ def wiki_markdown(articles: DataFrame, html: str = "html", out: str = "content")
     return _convert(articles, html, out, ("style", "script"), NOISE_CLASSES, "*+-", True)
 
 
+_PAGE_RULES = (
+    (*DROPPED_EVERYWHERE, *(n for n in DROPPED_IN_REGION if n != "header"), "head", "title"), (), "-", False, REGIONS,
+)
+
+
 def extract_parsed(pages: DataFrame, body: str = "body") -> DataFrame:
-    """The nested-markup variant of ``extract_columns``; keeps code blocks and nested lists."""
-    narrowed = pages.withColumns(
-        {"title": page_title(F.col(body)), "description": page_description(F.col(body)), "_region": main_region(F.col(body))}
-    )
-    dropped = (*DROPPED_EVERYWHERE, *DROPPED_IN_REGION)
-    return _convert(narrowed, "_region", "content", dropped).drop("malformed")
+    """The nested-markup variant of ``extract_columns``: regions and dropped elements by nesting, code and lists kept.
+
+    Every article of a page counts. A header stays where it holds a heading. Malformed pages have empty content.
+    """
+    named = pages.withColumns({"title": page_title(F.col(body)), "description": page_description(F.col(body)), "_html": F.col(body)})
+    return _convert(named, "_html", "content", *_PAGE_RULES).drop("malformed")
+
+
+def parsed_status(html: Column) -> Column:
+    """Whether ``extract_parsed`` finds content, by the same reading."""
+
+    @F.pandas_udf("string")
+    def status(bodies: pd.Series) -> pd.Series:
+        def one(text: str | None) -> str:
+            try:
+                return "content" if markdown_of(text, *_PAGE_RULES).strip() else "blank"
+            except (AssertionError, ValueError):
+                return "malformed"
+
+        return bodies.map(one)
+
+    return status(html)
+
 
+PARSED = Extractor(extract_parsed, parsed_status)

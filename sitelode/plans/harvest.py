@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_text
-from ..functions.urls import default_prefix, host, without_fragment
-from ..operators.content import Extractor, extract_columns
+from ..functions.urls import default_prefix, host, scheme, without_fragment
+from ..operators.content import COLUMNS, Extractor
 from ..operators.docsroot import find_docs_roots
-from ..operators.fetch import captures, follow_redirects
-from ..operators.frontier import graph_columns, traverse
-from ..operators.guard import guard_urls
-from ..session import cut_lineage
+from ..operators.fetch import captures, follow_redirects, unique_captures
+from ..operators.frontier import graph_columns, traverse, with_content_flag
+from ..operators.guard import guard_hosts
+from ..operators.markup import PARSED
+from ..session import cut_lineage, store_columns
 from ..sources.requests import parse_requests
-from ..sources.sitemaps import site_file_columns, sitemap_pages
+from ..sources.sitemaps import MAX_SITEMAPS, site_file_columns, sitemap_pages, unread_sitemaps
 from ..sources.wiki import endpoint_column, list_titles, wiki_pages
 from .progress import TIME_BUDGET_MS, apply_caps, crawl_summary, page_log, progress_table
 from .router import route_requests, wiki_facts
@@ -33,31 +34,34 @@ class Harvest:
 
 
 def drop_blocked(captured: DataFrame, dns: DataFrame) -> DataFrame:
-    """Captures whose host passes the address guard.
+    """Captures whose scheme and host pass the address guard.
 
-    Hosts are judged without bodies; the few that fail are then anti-joined.
+    They are judged without bodies; the few pairs that fail are then anti-joined.
     """
-    hosts = captured.select(F.concat(F.lit("http://"), host(F.col("url"))).alias("url")).distinct()
-    blocked = guard_urls(hosts, dns).filter("verdict <> 'ok'").select(host(F.col("url")).alias("_host"))
-    return captured.withColumn("_host", host(F.col("url"))).join(blocked, "_host", "left_anti").drop("_host")
+    parts = {"_scheme": scheme(F.col("url")), "_host": host(F.col("url"))}
+    pairs = captured.select(*[c.alias(n) for n, c in parts.items()]).distinct()
+    judged = guard_hosts(pairs.select(F.col("_scheme").alias("s"), F.col("_host").alias("h")), dns, F.col("s"), F.col("h"))
+    blocked = judged.filter("verdict <> 'ok'").select(F.col("s").alias("_scheme"), F.col("h").alias("_host"))
+    return captured.withColumns(parts).join(blocked, list(parts), "left_anti").drop(*parts)
 
 
-def capture_facts(captured: DataFrame, has_content: Column | None = None) -> DataFrame:
+def capture_facts(captured: DataFrame, extractor: Extractor = COLUMNS) -> DataFrame:
     """Everything the plan asks of captures before it reads pages, in one scan of the bodies.
 
     Only the bodies of wiki listing and site-info replies are carried on.
     """
     is_query = F.contains(F.col("fetch_key"), F.lit("action=query"))
-    return captured.select(
+    facts = captured.select(
         "fetch_key",
         "status",
         "content_type",
         "elapsed_ms",
-        *graph_columns(has_content),
+        *graph_columns(extractor),
         *site_file_columns(),
         endpoint_column(),
         F.when(is_query, F.col("body")).alias("body"),
     )
+    return with_content_flag(facts)
 
 
 def extract_urls(urls: DataFrame, graph: DataFrame, order: list[str], slice_by: Column | None = None) -> DataFrame:
@@ -82,11 +86,11 @@ def crawl_links(starts: DataFrame, graph: DataFrame) -> DataFrame:
     return page_log(traverse(starts, graph), ["depth", "trail"])
 
 
-def page_rows(kept: DataFrame, captured: DataFrame, extract: Extractor = extract_columns) -> DataFrame:
+def page_rows(kept: DataFrame, captured: DataFrame, extractor: Extractor = COLUMNS) -> DataFrame:
     """Read the kept pages' bodies, and only theirs, and extract them."""
     bodies = captured.select("fetch_key", "body")
     read = kept.withColumn("fetch_key", without_fragment(F.col("url"))).join(bodies, "fetch_key")
-    return extract(read).select(
+    return extractor.read(read).select(
         "crawl_id", "page_no", F.col("url").alias("source_url"), "title", "description", "content"
     )
 
@@ -95,38 +99,44 @@ def harvest(
     requests: DataFrame,
     responses: DataFrame,
     dns: DataFrame | None = None,
-    extract: Extractor = extract_columns,
-    has_content: Column | None = None,
+    extractor: Extractor = PARSED,
     budget_ms: int = TIME_BUDGET_MS,
     strict: bool = False,
+    captured_at: str | None = None,
+    max_sitemaps: int | None = MAX_SITEMAPS,
+    namespace: int = 0,
 ) -> Harvest:
     """Run every request against the captured responses.
 
-    ``has_content`` tells from the column ``body`` whether ``extract`` will find
-    content; give it together with an extractor of your own.
+    ``captured_at`` names a timestamp column of ``responses``; of several captures of a URL the latest counts
+    (the first in a fixed order without one). ``max_sitemaps`` caps sub-sitemaps per crawl, None reads all,
+    and the summary's ``unread_sitemaps`` counts what was left. ``namespace`` is that of wiki listings.
+    Visited pages that the extractor calls malformed are among the rejects.
     """
     parsed, bad_requests = parse_requests(requests)
     parsed = cut_lineage(parsed)
-    captured = captures(responses)
+    captured = unique_captures(captures(responses), captured_at)
     if dns is not None:
         captured = drop_blocked(captured, dns)
     captured = follow_redirects(captured, dns)
-    facts = cut_lineage(capture_facts(captured, has_content))
-    graph = facts.select("fetch_key", "elapsed_ms", "is_page", "has_content", "links")
+    # Stored by column: every step after this reads a few narrow ones.
+    facts = store_columns(capture_facts(captured, extractor), "facts")
+    graph = cut_lineage(facts.select("fetch_key", "elapsed_ms", "is_page", "has_content", "links").repartition("fetch_key"))
     files = facts.filter("named is not null or pages is not null").select("fetch_key", "named", "children", "pages")
     advertised = facts.filter("endpoint is not null").select("fetch_key", "endpoint")
 
-    sitemap = cut_lineage(sitemap_pages(parsed, files))
+    sitemap = cut_lineage(sitemap_pages(parsed, files, max_sitemaps))
+    unread = unread_sitemaps(parsed.select("crawl_id", "url"), files, max_sitemaps)
     routed, not_wikis = route_requests(parsed, wiki_facts(parsed, advertised, facts), sitemap, strict)
     routed = cut_lineage(routed)
 
     # Wiki route: titles are cut to max_pages first, then scoped.
     wikis = routed.filter("route = 'wiki'")
-    titles = cut_lineage(list_titles(wikis.select("crawl_id", "api_url", "max_pages"), facts))
+    titles = cut_lineage(list_titles(wikis.select("crawl_id", "api_url", "max_pages"), facts, namespace))
     articles = cut_lineage(wiki_pages(wikis, titles, captured))
-    wiki_log = page_log(
-        articles.filter("not malformed").withColumn("has_content", has_text(F.col("content"))), ["title_no"]
-    )
+    # A malformed article took its time too, but is no page.
+    read = ~F.coalesce("malformed", F.lit(False)) & has_text(F.col("content"))
+    wiki_log = page_log(articles.withColumn("has_content", read), ["title_no"])
     title_counts = titles.groupBy("crawl_id").agg(F.count("*").alias("title_total"))
 
     # Sitemap route.
@@ -148,7 +158,8 @@ def harvest(
         "max_pages",
         "max_depth",
     )
-    link_log = crawl_links(cut_lineage(starts), graph)
+    visits = cut_lineage(traverse(cut_lineage(starts), graph))
+    link_log = page_log(visits, ["depth", "trail"])
 
     limits = routed.join(title_counts, "crawl_id", "left").select(
         "crawl_id",
@@ -165,9 +176,18 @@ def harvest(
     clock = ["crawl_id", "page_no", "t_ms", "over_budget"]
     kept = kept_html.select(*clock).unionByName(kept_wiki.select(*clock))
 
-    pages = page_rows(kept_html, captured, extract).unionByName(
+    pages = page_rows(kept_html, captured, extractor).unionByName(
         kept_wiki.select("crawl_id", "page_no", "source_url", "title", F.lit("").alias("description"), "content")
     )
     malformed = articles.filter("malformed").select("crawl_id", F.col("source_url").alias("url"), F.lit("malformed markup").alias("reason"))
-    rejects = bad_requests.unionByName(not_wikis).unionByName(malformed)
-    return Harvest(pages, progress_table(kept, limits), crawl_summary(kept, limits), rejects)
+    unreadable = facts.filter("content_status = 'malformed'").select("fetch_key")
+    fetched = listed.select("crawl_id", "url").unionByName(visits.select("crawl_id", "url"))
+    broken = (
+        fetched.withColumn("fetch_key", without_fragment(F.col("url"))).join(unreadable, "fetch_key")
+        .select("crawl_id", "url", F.lit("malformed markup").alias("reason")).distinct()
+    )
+    rejects = bad_requests.unionByName(not_wikis).unionByName(malformed).unionByName(broken)
+    summary = crawl_summary(kept, limits).join(unread, "crawl_id", "left").withColumn(
+        "unread_sitemaps", F.coalesce("unread", F.lit(0).cast("bigint"))
+    )
+    return Harvest(pages, progress_table(kept, limits), summary.drop("unread"), rejects)

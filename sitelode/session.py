@@ -73,6 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def store_columns(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back by column, so readers take only what they need."""
+    place = scratch_path(df.sparkSession, name)
+    df.write.parquet(place)
+    return df.sparkSession.read.parquet(place)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so later steps neither recompute it nor lose it."""
     shared_dir(df.sparkSession)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.links import named_sitemaps, sitemap_locs
-from ..functions.text import SPACE
+from ..functions.text import SPACE_CHARACTERS
 from ..functions.urls import default_prefix, netloc, site_root, without_fragment
 from ..operators.fetch import is_success
 from ..operators.scope import in_scope
@@ -19,7 +19,7 @@ _CONVENTIONAL = 2**31 - 1  # position of <root>/sitemap.xml, after everything ro
 
 def looks_like_sitemap(content_type: Column, body: Column) -> Column:
     """The type says XML, or the start of the body does."""
-    head = F.lower(F.substring(F.regexp_replace(body, rf"^[{SPACE}]+", ""), 1, 512))
+    head = F.lower(F.substring(F.ltrim(body, F.lit(SPACE_CHARACTERS)), 1, 512))
     sniffed = head.startswith("<?xml") | F.contains(head, F.lit("<urlset")) | F.contains(head, F.lit("<sitemapindex"))
     return F.coalesce(F.contains(F.lower(content_type), F.lit("xml")), F.lit(False)) | F.coalesce(sniffed, F.lit(False))
 
@@ -71,12 +71,28 @@ def sitemap_candidates(bases: DataFrame, files: DataFrame) -> DataFrame:
     return every.groupBy("crawl_id", "url").agg(F.min("pos").alias("pos"))
 
 
-def _documents(candidates: DataFrame, files: DataFrame, max_sitemaps: int) -> DataFrame:
-    """Documents that contribute pages: ``(crawl_id, pos, sub_pos, fetch_key)``."""
-    entries = candidates.withColumn("fetch_key", without_fragment(F.col("url"))).join(
+def _entries(candidates: DataFrame, files: DataFrame) -> DataFrame:
+    """Candidates that were captured, with their children."""
+    return candidates.withColumn("fetch_key", without_fragment(F.col("url"))).join(
         files.filter("children is not null").select("fetch_key", "children"), "fetch_key"
     )
+
+
+def unread_sitemaps(bases: DataFrame, files: DataFrame, max_sitemaps: int | None = MAX_SITEMAPS) -> DataFrame:
+    """Sub-sitemaps beyond the cap: ``(crawl_id, unread)``, for crawls that have any."""
+    counted = _entries(sitemap_candidates(bases, files), files).groupBy("crawl_id").agg(F.sum(F.size("children")).alias("n"))
+    if max_sitemaps is None:
+        return counted.limit(0).select("crawl_id", F.col("n").alias("unread"))
+    return counted.filter(F.col("n") > max_sitemaps).select("crawl_id", (F.col("n") - max_sitemaps).alias("unread"))
+
+
+def _documents(candidates: DataFrame, files: DataFrame, max_sitemaps: int | None) -> DataFrame:
+    """Documents that contribute pages: ``(crawl_id, pos, sub_pos, fetch_key)``."""
+    entries = _entries(candidates, files)
     flat = entries.filter(F.size("children") == 0).select("crawl_id", "pos", F.lit(-1).alias("sub_pos"), "fetch_key")
+    if max_sitemaps is None:
+        every = entries.select("crawl_id", "pos", F.posexplode("children").alias("sub_pos", "child"))
+        return flat.unionByName(every.select("crawl_id", "pos", "sub_pos", without_fragment(F.col("child")).alias("fetch_key")))
     # The cap counts attempts over all candidates of a crawl, so no file needs more than the cap.
     attempt = Window.partitionBy("crawl_id").orderBy("pos", "sub_pos")
     subs = (
@@ -90,7 +106,7 @@ def _documents(candidates: DataFrame, files: DataFrame, max_sitemaps: int) -> Da
     return flat.unionByName(subs)
 
 
-def find_sitemap_urls(bases: DataFrame, files: DataFrame, max_sitemaps: int = MAX_SITEMAPS) -> DataFrame:
+def find_sitemap_urls(bases: DataFrame, files: DataFrame, max_sitemaps: int | None = MAX_SITEMAPS) -> DataFrame:
     """Page URLs of each crawl's sitemap: ``(crawl_id, pos, sub_pos, loc_pos, url)``.
 
     The first candidate that yields pages wins; its order is (pos, sub_pos, loc_pos)
@@ -105,7 +121,7 @@ def find_sitemap_urls(bases: DataFrame, files: DataFrame, max_sitemaps: int = MA
     )
 
 
-def sitemap_pages(requests: DataFrame, files: DataFrame, max_sitemaps: int = MAX_SITEMAPS) -> DataFrame:
+def sitemap_pages(requests: DataFrame, files: DataFrame, max_sitemaps: int | None = MAX_SITEMAPS) -> DataFrame:
     """Sitemap URLs inside each request's own scope; the scope never changes which source wins."""
     found = find_sitemap_urls(requests.select("crawl_id", "url"), files, max_sitemaps)
     scope = requests.select(

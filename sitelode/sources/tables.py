@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import CRAWL_REQUESTS, RESPONSES
-
-_SPLIT_BYTES = 128 * 1024 * 1024  # Spark's default split
-
+from ..session import cut_lineage
 
 def read_table(spark: SparkSession, location: str) -> DataFrame:
-    """A parquet table, spread over all cores when it is too small to have a split for each.
-
-    Page text is costly to work on, and one small file would keep all of it in one
-    task. A table of more than one split per core is read as it is, with no shuffle.
-    """
-    table = spark.read.parquet(location)
-    cores = spark.sparkContext.defaultParallelism
-    estimate = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return table.repartition(cores) if estimate < cores * _SPLIT_BYTES else table
+    """A parquet table as it is stored; ``spark.sql.files.*`` sets the width of the scan."""
+    return spark.read.parquet(location)
 
 
 def read_responses(spark: SparkSession, location: str, format: str = "parquet") -> DataFrame:
@@ -37,19 +30,44 @@ def stream_responses(spark: SparkSession, location: str, format: str = "parquet"
     )
 
 
-def write_pages(pages: DataFrame, location: str, mode: str = "overwrite") -> None:
-    """Page table by crawl. A big crawl is spread over many files, a small one gets few.
+def _replace_crawls(rows: DataFrame, location: str, crawls: DataFrame | None, buckets: int) -> None:
+    """Write ``rows`` over what the table holds of ``crawls``, all of theirs if not given; other crawls stay.
 
-    Rebalancing lets Spark split the partitions of a hot crawl by size.
+    The table has a folder for each bucket of crawls, not for each crawl. Only buckets that get rows or
+    lose some are written anew, so a rerun gives the same table. Rebalancing splits a hot crawl by size.
     """
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64("crawl_id"), F.lit(buckets)).cast("int").alias("bucket")
+    placed = rows.withColumn("bucket", bucket)
+    replaced = cut_lineage((rows if crawls is None else crawls).select("crawl_id", bucket).distinct())
+    try:
+        stored = spark.read.schema(placed.schema).parquet(location)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        touched = stored.join(replaced.select("bucket").distinct(), "bucket", "left_semi")
+        # Read before its folders are replaced.
+        placed = placed.unionByName(cut_lineage(touched.join(replaced, "crawl_id", "left_anti")))
     (
-        pages.select("crawl_id", "page_no", "source_url", "title", "description", "content")
-        .hint("rebalance", "crawl_id")
-        .write.mode(mode)
-        .partitionBy("crawl_id")
+        placed.hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", "crawl_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
         .parquet(location)
     )
 
 
-def write_progress(progress: DataFrame, location: str, mode: str = "append") -> None:
-    progress.write.mode(mode).parquet(location)
+def write_pages(pages: DataFrame, location: str, crawls: DataFrame | None = None, buckets: int = 256) -> None:
+    """Page table by bucket of crawls; pages that the table holds of the same crawls are replaced.
+
+    Give ``crawls`` (``crawl_id``) to replace also those that have no page any more.
+    """
+    columns = ("crawl_id", "page_no", "source_url", "title", "description", "content")
+    _replace_crawls(pages.select(*columns), location, crawls, buckets)
+
+
+def write_progress(progress: DataFrame, location: str, crawls: DataFrame | None = None, buckets: int = 256) -> None:
+    """Messages or summaries by bucket of crawls; those of the same crawls are replaced."""
+    _replace_crawls(progress, location, crawls, buckets)

@@ -8,31 +8,30 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.text import has_text
 from ..functions.urls import canonical_url
-from ..operators.content import Extractor, extract_columns
+from ..operators.content import COLUMNS, Extractor
 from ..operators.fetch import is_html
 
 
 def page_stream(
     captured: DataFrame,
-    extract: Extractor = extract_columns,
+    extractor: Extractor = COLUMNS,
     arrival: str | None = None,
     horizon: str = "1 day",
 ) -> DataFrame:
     """One page per canonical URL from a stream of captures: ``(key, source_url, title, description, content)``.
 
     With an ``arrival`` timestamp column, seen keys are forgotten after ``horizon``
-    and state stays bounded; without one every key is remembered. Repeats are
-    dropped before extraction, and the shuffle to the state carries each body once.
+    and state stays bounded; without one every key is remembered. Pages without content
+    are dropped first, so a blank capture does not stand in the way of a later full one.
     """
     columns = ["key", "url", "body", *([arrival] if arrival else [])]
-    pages = captured.filter(is_html(F.col("status"), F.col("content_type"))).select(
-        canonical_url(F.col("url")).alias("key"), *columns[1:]
-    )
+    shows = is_html(F.col("status"), F.col("content_type")) & (extractor.status(F.col("body")) == "content")
+    pages = captured.filter(shows).select(canonical_url(F.col("url")).alias("key"), *columns[1:])
     if arrival:
         fresh = pages.withWatermark(arrival, horizon).dropDuplicatesWithinWatermark(["key"])
     else:
         fresh = pages.dropDuplicates(["key"])
-    return extract(fresh).filter(has_text(F.col("content"))).select(
+    return extractor.read(fresh).filter(has_text(F.col("content"))).select(
         "key", F.col("url").alias("source_url"), "title", "description", "content"
     )
 
