@@ -164,3 +164,21 @@ def test_cut_documents_keep_rows_and_columns(spark, documents, prose):
     texts = [r.text for r in left.collect()]
     assert texts.count(copy) == 1 and len(texts) == len(rows) - 1
     assert suffixes.without_repeats(documents([])).count() == 0
+
+
+def test_runs_over_several_partitions_have_one_head(spark, documents, prose):
+    texts = documents([(i, prose("same", 300)) for i in range(90)] + [(100 + i, prose(i, 100)) for i in range(20)])
+    keyed = texts.select(suffixes.text_key("doc_id", "text").alias("_doc"), "text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = suffixes.matched_suffixes(keyed, suffixes.Settings()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    first = min(r._doc for r in keyed.where("doc_id < 90").collect())
+    assert {r.head_doc for r in found} == {first}
+    assert all(r.at == r.head_at for r in found)
+    places = {r.at for r in found}
+    assert len(found) == 89 * len(places) and len(places) > 10
