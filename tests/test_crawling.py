@@ -1,7 +1,6 @@
 """Scope, redirects, guard, sitemaps, docs roots and traversal on small captures."""
 
 import random
-from collections import deque
 from urllib.parse import urljoin
 
 import pytest
@@ -38,68 +37,63 @@ def crawl(spark, rows, *start_rows):
 
 
 DOCS = [
-    page("https://h.example/docs/", '<p>r</p><a href="/docs/a/">a</a> <a href="/docs/b/">b</a> <a href="/out/">o</a>'),
-    page("https://h.example/docs/a/", '<p>a</p><a href="/docs/a/deep/">deep</a>'),
-    page("https://h.example/docs/a/deep/", "<p>deep</p>"),
-    page("https://h.example/docs/b/", "<p>b</p>"),
-    page("https://h.example/out/", "<p>out</p>"),
+    page("https://park.test/map/", '<p>r</p><a href="/map/north/">a</a> <a href="/map/south/">b</a> <a href="/shop/">o</a>'),
+    page("https://park.test/map/north/", '<p>a</p><a href="/map/north/peak/">deep</a>'),
+    page("https://park.test/map/north/peak/", "<p>deep</p>"),
+    page("https://park.test/map/south/", "<p>b</p>"),
+    page("https://park.test/shop/", "<p>out</p>"),
 ]
-ROOT = "https://h.example/docs/"
+ROOT = "https://park.test/map/"
 
 
 def test_scope(values):
     nothing = F.lit(None).cast("string")
-    inside = lambda c: scope.in_scope(c, F.lit("h.example"), F.lit("/docs/"), nothing, nothing)
+    inside = lambda c: scope.in_scope(c, F.lit("park.test"), F.lit("/map/"), nothing, nothing)
     assert values(inside, [
-        "https://h.example/docs/a/", "https://other.example/docs/a/", "https://h.example/other/", "https://h.example/docs/img.PNG",
-        "https://h.example/docs/file.pdf", "https://H.example/docs/a", "https://h.example:80/docs/a", "https://h.example/docs/a?x=.pdf",
+        "https://park.test/map/north/", "https://other.example/map/north/", "https://park.test/other/", "https://park.test/map/img.PNG",
+        "https://park.test/map/file.pdf", "https://H.example/map/a", "https://park.test:80/map/a", "https://park.test/map/a?x=.pdf",
     ]) == [True, False, False, False, False, False, False, True]
 
 
 def test_crawl_order_scope_caps_and_depth(spark):
     got = crawl(
         spark, DOCS,
-        ("all", ROOT, "/docs/", [], 50, 5), ("two", ROOT, "/docs/", [], 2, 5), ("shallow", ROOT, "/docs/", [], 50, 1),
-        ("excluded", ROOT, "/docs/", ["docs/a/*"], 50, 5), ("none", "https://h.example/missing", "/", [], 50, 5),
+        ("all", ROOT, "/map/", [], 50, 5), ("two", ROOT, "/map/", [], 2, 5), ("shallow", ROOT, "/map/", [], 50, 1),
+        ("excluded", ROOT, "/map/", ["map/north/*"], 50, 5), ("none", "https://park.test/missing", "/", [], 50, 5),
     )
-    a, b, deep = ROOT + "a/", ROOT + "b/", ROOT + "a/deep/"
+    a, b, deep = ROOT + "north/", ROOT + "south/", ROOT + "north/peak/"
     assert got == {"all": [ROOT, a, b, deep], "two": [ROOT, a], "shallow": [ROOT, a, b], "excluded": [ROOT, b]}
 
 
 def test_slash_variant_is_visited_once_and_blocks_even_when_missing(spark):
     rows = [
-        page(ROOT, '<p>r</p><a href="/docs/a">1</a><a href="/docs/a/">2</a><a href="/docs/c">3</a><a href="/docs/c/">4</a>'),
+        page(ROOT, '<p>r</p><a href="/map/a">1</a><a href="/map/north/">2</a><a href="/map/c">3</a><a href="/map/c/">4</a>'),
         page(ROOT + "a", "<p>a</p>"), page(ROOT + "a/", "<p>a again</p>"), page(ROOT + "c/", "<p>c</p>"),
     ]
-    assert crawl(spark, rows, ("x", ROOT, "/docs/", [], 50, 5)) == {"x": [ROOT, ROOT + "a"]}
+    assert crawl(spark, rows, ("x", ROOT, "/map/", [], 50, 5)) == {"x": [ROOT, ROOT + "a"]}
 
 
 def test_blank_pages_are_followed_but_not_emitted(spark):
-    rows = [page(ROOT, '<a href="/docs/a"></a>'), page(ROOT + "a", "<p>a</p>", content_type="text/HTML;x")]
-    assert crawl(spark, rows, ("x", ROOT, "/docs/", [], 50, 5)) == {"x": [ROOT + "a"]}
-
-
-def fifo(pages, start, max_pages, max_depth):
-    """A plain queue over a dict of pages: url -> (links, has text)."""
-    key = lambda u: u.rstrip("/")
-    seen, queue, out = {key(start)}, deque([(start, 0)]), []
-    while queue and len(out) < max_pages:
-        url, depth = queue.popleft()
-        if url not in pages:
-            continue
-        hrefs, shown = pages[url]
-        if shown:
-            out.append(url)
-        if depth < max_depth:
-            for link in sorted({urljoin(url, h) for h in hrefs}):
-                if key(link) not in seen and link.startswith("https://g.example/"):
-                    seen.add(key(link))
-                    queue.append((link, depth + 1))
-    return out
+    rows = [page(ROOT, '<a href="/map/a"></a>'), page(ROOT + "a", "<p>a</p>", content_type="text/HTML;x")]
+    assert crawl(spark, rows, ("x", ROOT, "/map/", [], 50, 5)) == {"x": [ROOT + "a"]}
+
+
+def level_by_level(pages, start, cap, deepest):
+    """Pages in the order of levels, of parents within a level, and of links within a parent; a key counts once."""
+    level, found, known = [start], [], set()
+    for _ in range(deepest + 1):
+        known |= {u.rstrip("/") for u in level}
+        found += [u for u in level if pages.get(u, ((), False))[1]]
+        links = [k for u in level for k in sorted({urljoin(u, h) for h in pages.get(u, ((), 0))[0]}) if k.startswith("https://g.example/")]
+        first = {}
+        for k in links:
+            first.setdefault(k.rstrip("/"), k)
+        level = [u for key, u in first.items() if key not in known]
+    return found[:cap]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_traversal_equals_a_queue_on_random_graphs(spark, seed):
+def test_traversal_of_random_graphs_goes_level_by_level(spark, seed):
     rng = random.Random(seed)
     names = [f"/n{i}" + ("/" if i % 3 == 0 else "") for i in range(60)]
     pages, rows = {}, []
@@ -112,13 +106,13 @@ def test_traversal_equals_a_queue_on_random_graphs(spark, seed):
             pages["https://g.example" + name] = (hrefs, shown)
             rows.append(page("https://g.example" + name, body))
     wanted = [(f"{cap}-{depth}", "https://g.example/n0/", "/", [], cap, depth) for cap in (3, 17, 500) for depth in (1, 3, 9)]
-    expected = {w[0]: fifo(pages, w[1], w[4], w[5]) for w in wanted}
+    expected = {w[0]: level_by_level(pages, w[1], w[4], w[5]) for w in wanted}
     assert crawl(spark, rows, *wanted) == {k: v for k, v in expected.items() if v}
 
 
 def test_redirects(spark):
-    hop = lambda i, to: page(f"https://h.example/{i}", "", 302, location=to)
-    rows = [hop(i, f"/{i + 1}") for i in range(7)] + [page("https://h.example/7", "end"), hop("lost", None), hop("loop", "/loop")]
+    hop = lambda i, to: page(f"https://park.test/{i}", "", 302, location=to)
+    rows = [hop(i, f"/{i + 1}") for i in range(7)] + [page("https://park.test/7", "end"), hop("lost", None), hop("loop", "/loop")]
     got = {r.fetch_key[18:]: (r.final_key[18:], r.hops, r.verdict) for r in fetch.resolve_redirects(captured(spark, rows)).collect()}
     assert got["2"] == ("7", 5, "ok") and got["6"] == ("7", 1, "ok")
     assert got["1"][2] == "too_many_redirects" and got["loop"][2] == "too_many_redirects" and "lost" not in got
@@ -145,7 +139,7 @@ def urlset(*locs):
     return "<?xml version='1.0'?><urlset>" + "".join(f"<url><loc> {u}\n</loc></url>" for u in locs) + "</urlset>"
 
 
-def sitemap_of(spark, rows, base="https://h.example/docs/"):
+def sitemap_of(spark, rows, base="https://park.test/map/"):
     found = sitemaps.find_sitemap_urls(
         spark.createDataFrame([("x", base)], "crawl_id string, url string"), sitemaps.site_files(captured(spark, rows))
     )
@@ -153,10 +147,10 @@ def sitemap_of(spark, rows, base="https://h.example/docs/"):
 
 
 def test_sitemap_sources(spark):
-    h = "https://h.example/"
+    h = "https://park.test/"
     flat = page(h + "sitemap.xml", urlset(h + "a", h + "a", h + "b"), content_type="text/plain")
     assert sitemap_of(spark, [flat]) == [h + "a", h + "a", h + "b"]
-    robots = page(h + "robots.txt", "User-agent: *\r\n sitemap:  https://h.example/c.xml\r\nSitemap: a b\r\n", content_type="text/plain")
+    robots = page(h + "robots.txt", "User-agent: *\r\n sitemap:  https://park.test/c.xml\r\nSitemap: a b\r\n", content_type="text/plain")
     custom = page(h + "c.xml", urlset(h + "c"), content_type="application/xml")
     assert sitemap_of(spark, [flat, robots, custom]) == [h + "c"]
     assert sitemap_of(spark, [flat, robots, page(h + "c.xml", "<html>spa</html>")]) == [h + "a", h + "a", h + "b"]
@@ -164,7 +158,7 @@ def test_sitemap_sources(spark):
 
 
 def test_sitemap_index_rules(spark):
-    h = "https://h.example/"
+    h = "https://park.test/"
     index = page(h + "sitemap.xml", urlset(h + "dropped", *[f"{h}s{i}.XML" for i in range(52)]))
     subs = [page(f"{h}s{i}.XML", urlset(f"{h}p{i}?a=1&amp;b", h + "nested.xml")) for i in range(52) if i != 3]
     got = sitemap_of(spark, [index, *subs])
@@ -174,10 +168,10 @@ def test_sitemap_index_rules(spark):
 
 def test_scope_is_applied_after_the_source_is_chosen(spark):
     raw = spark.createDataFrame(
-        [("x", "https://h.example/docs/", True, None, None, None, None, None, None, None, None),
-         ("y", "https://h.example", True, "/blog/", None, None, "*/z", None, None, None, None)], schemas.CRAWL_REQUESTS)
+        [("x", "https://park.test/map/", True, None, None, None, None, None, None, None, None),
+         ("y", "https://park.test", True, "/blog/", None, None, "*/z", None, None, None, None)], schemas.CRAWL_REQUESTS)
     parsed, _ = requests.parse_requests(raw)
-    h = "https://h.example/"
+    h = "https://park.test/"
     rows = [page(h + "robots.txt", f"Sitemap: {h}c.xml"), page(h + "c.xml", urlset(h + "blog/a", h + "blog/z")),
             page(h + "sitemap.xml", urlset(h + "docs/a"))]
     got = sitemaps.sitemap_pages(parsed, sitemaps.site_files(captured(spark, rows))).collect()
