@@ -125,6 +125,19 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
 
+def _with_heads(batches: Iterator[pa.RecordBatch], begun: dict[int, tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """All matches, those in the first run of a partition with the head of the whole run."""
+    for batch in batches:
+        doc, at, head_doc, head_at, key, side = (batch.column(i).to_numpy() for i in range(6))
+        head_doc, head_at = head_doc.copy(), head_at.copy()
+        for value in np.unique(key[side == 1]):
+            doc_, at_ = begun.get(int(value), (None, None))
+            if doc_ is not None:
+                later = (side == 1) & (key == value) & ((head_doc > doc_) | ((head_doc == doc_) & (head_at > at_)))
+                head_doc[later], head_at[later] = doc_, at_
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, at, head_doc, head_at)], ["doc", "at", "head_doc", "head_at"])
+
+
 def matched_suffixes(texts: DataFrame, settings: Settings) -> DataFrame:
     """``doc, at, head_doc, head_at``: retained suffixes that begin like an earlier one, and the first of those.
 
@@ -134,14 +147,13 @@ def matched_suffixes(texts: DataFrame, settings: Settings) -> DataFrame:
     # A range of (key, doc, at) holds few rows even of a run that is a third of all suffixes.
     ordered = suffixes.repartitionByRange("key", "doc", "at").sortWithinPartitions("key", "doc", "at")
     runs = cut_lineage(ordered.mapInArrow(_neighbours, _SORTED))
-    # One row of each partition.
-    begun = runs.where("side = 2").groupBy("key").agg(F.min(F.struct("head_doc", "head_at")).alias("begun"))
-    inner = runs.where("side = 0").select("doc", "at", "head_doc", "head_at")
-    own = F.struct("head_doc", "head_at")
-    edges = runs.where("side = 1").join(begun, "key", "left").select(
-        "doc", "at", F.least(own, F.coalesce("begun", own)).alias("h")
-    )
-    found = inner.union(edges.select("doc", "at", "h.head_doc", "h.head_at"))
+    # One row of each partition tells how its last run began, and of a run over several partitions the first counts.
+    begun: dict[int, tuple[int, int]] = {}
+    for row in runs.where("side = 2").select("key", "head_doc", "head_at").collect():
+        own = (row.head_doc, row.head_at)
+        begun[row.key] = min(begun.get(row.key, own), own)
+    matched = "doc bigint, at int, head_doc bigint, head_at int"
+    found = runs.where("side < 2").mapInArrow(lambda b: _with_heads(b, begun), matched)
     return found.where("doc <> head_doc or at <> head_at")
 
 
