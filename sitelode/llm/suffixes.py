@@ -253,7 +253,7 @@ def repeated_passages(
 
 
 def _without(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    """Each text without the words of its spans and the white space after them."""
+    """Each text without the words of its spans and the white space after them; none if no word is left."""
     out = []
     for part in steps(texts):
         found = find_words(part)
@@ -262,15 +262,17 @@ def _without(texts: pa.Array, spans: pa.Array) -> pa.Array:
             a, b = int(found.bounds[i]), int(found.bounds[i + 1])
             end = int(part.bounds[i + 1])
             at, kept = int(part.bounds[i]), []
-            for s in sorted(spans[part.first + i].as_py(), key=lambda s: (s["first"], s["last"])):
+            cuts = spans[part.first + i].as_py() or []
+            for s in sorted(cuts, key=lambda s: (s["first"], s["last"])):
                 begin = int(found.starts[a + s["first"]])
                 stop = int(found.starts[a + s["last"]]) if a + s["last"] < b else end
                 if begin > at:
                     kept.append(data[at:begin])
                 at = max(at, stop)
             kept.append(data[at:end])
-            out.append(b"".join(kept).decode("utf-8"))
-    return pa.array(out, pa.string())
+            left = b"".join(kept)
+            out.append([left.decode("utf-8")] if left.split() or not cuts else [])
+    return pa.array(out, pa.list_(pa.string()))
 
 
 def without_repeats(
@@ -284,11 +286,9 @@ def without_repeats(
     spans = found.groupBy("_doc").agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
     keyed = documents.select(text_key(id_column, text_column).alias("_doc"), F.struct("*").alias("_row"))
     text = F.col(f"_row.{text_column}")
-    cut = keyed.join(spans, "_doc", "left").select(
-        "_row", F.col("_spans").isNotNull().alias("_cut"),
-        F.when(F.col("_spans").isNotNull(), F.arrow_udf(_without, "string")(text, F.coalesce("_spans", F.array().cast("array<struct<first:int,last:int>>")))).otherwise(text).alias("_left"),
-    )
-    kept = cut.where(~F.col("_cut") | F.col("_left").rlike("[^\\x20\\x09-\\x0D]"))
-    return kept.select(
+    # What is left comes as a list of one text or none: a filter on it would have Spark cut every text twice.
+    left = F.when(F.col("_spans").isNull(), F.array(text)).otherwise(F.arrow_udf(_without, "array<string>")(text, F.col("_spans")))
+    cut = keyed.join(spans, "_doc", "left").select("_row", F.explode(left).alias("_left"))
+    return cut.select(
         *[F.col("_left").alias(c) if c == text_column else F.col("_row")[c].alias(c) for c in documents.columns]
     )
