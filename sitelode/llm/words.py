@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text makes a step of its own.
-STEP_BYTES = 2 * 1024 * 1024
+STEP_BYTES = 512 * 1024
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
