@@ -1,5 +1,6 @@
 """SimHash groups, repeated passages and link components, against brute force."""
 
+import math
 import random
 from collections import defaultdict
 
@@ -109,6 +110,33 @@ def test_one_of_each_group_of_similar_texts_stays(spark, documents, prose):
     assert simhash.keep_one(documents([])).count() == 0
 
 
+def spliced(prose, seed, size, common):
+    """Two texts of ``size`` shingles of five words each that share ``common`` shingles, at their beginning."""
+    first = prose(f"{seed} first", size + 4).split()
+    own = [f"own{seed}x{i}" for i in range(size - common)]
+    return " ".join(first), " ".join(first[: common + 4] + own)
+
+
+def shingle_set(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_pairs_near_the_limit_are_decided_exactly(spark, documents, prose):
+    rows, want = [], set()
+    for at, similarity in enumerate((0.75, 0.78, 0.79, 0.80, 0.82, 0.85)):
+        for i in range(15):
+            common = 2 * similarity / (1 + similarity) * 360
+            a, b = spliced(prose, f"{at}n{i}", 360, math.floor(common) if similarity < 0.8 else math.ceil(common))
+            one, two = shingle_set(a), shingle_set(b)
+            assert (len(one & two) >= 0.8 * len(one | two)) == (similarity >= 0.8)
+            place = 1000 * at + 10 * i
+            rows += [(place, a), (place + 1, b)]
+            want |= {place} if similarity >= 0.8 else {place, place + 1}
+    for settings in (simhash.Similar(), simhash.Similar(shard_size=1)):
+        assert {r.doc_id for r in simhash.keep_one(documents(rows), settings=settings).collect()} == want
+
+
 def test_repeated_passages_are_found_and_true(spark, documents, prose):
     shared, other = prose("p", 60), prose("q", 50)
     rows = [(i, f"{prose(('a', i).__repr__(), 30 + 9 * i)} {shared} {prose(('b', i).__repr__(), 25)}") for i in range(6)]
