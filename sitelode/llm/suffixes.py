@@ -2,13 +2,14 @@
 
 A suffix of a text's words is retained where the hash of its first words is the least of its
 neighbourhood, so the choice depends on content alone and equal passages retain the same
-suffixes. All retained suffixes are sorted by their first ``anchor`` words, then by text and place, across
-the cluster. Neighbours in that order that begin with the same words are matched to the
-first of their run, and runs that cross partitions are joined by one row per partition. Matches on one
-diagonal are merged and extended to the left and right, word by word.
-
-Every passage of at least ``least`` words that two texts share (or one text holds twice) retains a suffix
-that is matched, with all its first ``anchor`` words inside.
+suffixes. All retained suffixes are sorted across the cluster by their first ``anchor`` words, then by all words
+around them that a passage of ``least`` words may hold, then by text and place. Suffixes with equal surroundings
+are a class, matched to its first; classes that cross partitions are joined by one row per partition.
+
+Suffixes of one run that begin alike but stand in different surroundings may share a passage with some and only
+a part of it with others. There the first of each class asks for the windows of ``least`` words in which it is the
+least, and equal windows are matched to the first of their kind. So every window of ``least`` words that stands
+in two places is matched in all but the earliest. Matches on one diagonal are merged.
 """
 
 from __future__ import annotations
@@ -42,164 +43,226 @@ class Settings:
         return self.least - self.window + 1
 
 
-def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of runs of ``n`` words by differences of prefix sums, so the length costs nothing."""
-    if len(hashes) < n:
-        return np.zeros(0, np.uint64)
-    power = np.full(len(hashes), _BASE)
-    power[0] = 1
-    inverse = np.full(len(hashes), _INVERSE)
-    inverse[0] = 1
-    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * np.cumprod(power))))
-    return mix((prefix[n:] - prefix[:-n]) * np.cumprod(inverse)[: len(hashes) - n + 1])
+class Runs:
+    """Hashes of runs of words by differences of prefix sums, so the length costs nothing."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        power = np.full(len(hashes), _BASE)
+        power[:1] = 1
+        inverse = np.full(len(hashes), _INVERSE)
+        inverse[:1] = 1
+        self.prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * np.cumprod(power))))
+        self.inverse = np.cumprod(inverse)
+
+    def of(self, n: int) -> np.ndarray:
+        """All runs of ``n`` words."""
+        if len(self.inverse) < n:
+            return np.zeros(0, np.uint64)
+        return mix((self.prefix[n:] - self.prefix[:-n]) * self.inverse[: len(self.inverse) - n + 1])
+
+    def between(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Runs that are not empty, of any lengths."""
+        return mix((self.prefix[ends] - self.prefix[starts]) * self.inverse[starts])
+
+
+def _retained(grams: np.ndarray, window: int) -> np.ndarray:
+    """For each neighbourhood the place of its least gram, the first of equals."""
+    size = max(0, len(grams) - window + 1)
+    least = np.zeros(size, np.int64)
+    value = grams[:size].copy()
+    for i in range(1, window):
+        other = grams[i : i + size]
+        less = other < value
+        value = np.where(less, other, value)
+        least[less] = i
+    return least + np.arange(size)
+
+
+#: ``run`` is the same for suffixes that begin alike, ``key`` for those in equal surroundings; ``place`` holds the
+#: word and the number of words from there that ``key`` covers.
+_SUFFIX = "run bigint, key bigint, doc bigint, place bigint"
+_COVER = 6
+#: Parts that the rows of one head are joined in.
+_PARTS = 32
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
-    """Rows ``text key, text`` to rows ``key, text key, place`` of retained suffixes long enough to be matched."""
+    """Rows ``text key, text`` to retained suffixes long enough to be matched."""
     anchor, window = settings.anchor, settings.window
     for batch in batches:
         owners_key = batch.column(0).to_numpy()
         for part in steps(batch.column(1)):
             found = find_words(part)
-            hashes = word_hashes(part, found)
-            grams = run_hashes(hashes, settings.gram)
-            keys = run_hashes(hashes, anchor)
+            runs = Runs(word_hashes(part, found))
+            keys = runs.of(anchor)
             if not len(keys):
                 continue
             # Windows of all texts at once; those that reach into the next text are dropped.
-            size = len(grams) - window + 1
+            chosen = _retained(runs.of(settings.gram), window)
             owners = found.owners()
-            least = np.zeros(size, np.int64)
-            value = grams[:size].copy()
-            for i in range(1, window):
-                other = grams[i : i + size]
-                less = other < value
-                value = np.where(less, other, value)
-                least[less] = i
             span = window + settings.gram - 1
-            whole = owners[:size] == owners[span - 1 : span - 1 + size]
-            at = np.unique((least + np.arange(size))[whole])
+            whole = owners[: len(chosen)] == owners[span - 1 : span - 1 + len(chosen)]
+            at = np.unique(chosen[whole])
             at = at[at + anchor <= len(owners)]
             at = at[owners[at] == owners[at + anchor - 1]]
+            begin, end = found.bounds[owners[at]], found.bounds[owners[at] + 1]
+            left, right = np.minimum(window - 1, at - begin), np.minimum(settings.least, end - at)
+            around = mix(runs.between(at - left, at + right) + mix((left * 64 + right + 1).astype(np.uint64)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array((keys[at] >> np.uint64(24)).view(np.int64)),
+                    pa.array(around.view(np.int64)),
+                    pa.array(owners_key[part.first + owners[at]]),
+                    pa.array(((at - begin) << _COVER | right).astype(np.int64)),
+                ],
+                ["run", "key", "doc", "place"],
+            )
+
+
+def _windows(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
+    """Rows ``text key, text, places`` to windows of ``least`` words whose least place is among those given."""
+    least = settings.least
+    for batch in batches:
+        owners_key = batch.column(0).to_numpy()
+        asked = batch.column(2)
+        for part in steps(batch.column(1)):
+            found = find_words(part)
+            runs = Runs(word_hashes(part, found))
+            keys = runs.of(least)
+            if not len(keys):
+                continue
+            chosen = _retained(runs.of(settings.gram), settings.window)[: len(keys)]
+            owners = found.owners()
+            wanted = np.zeros(len(owners), bool)
+            for i in range(len(part)):
+                wanted[found.bounds[i] + asked[part.first + i].values.to_numpy()] = True
+            at = np.flatnonzero(wanted[chosen] & (owners[: len(keys)] == owners[least - 1 :]))
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array((keys[at] >> np.uint64(24)).view(np.int64)),
                     pa.array(keys[at].view(np.int64)),
                     pa.array(owners_key[part.first + owners[at]]),
-                    pa.array((at - found.bounds[owners[at]]).astype(np.int32)),
+                    pa.array(((at - found.bounds[owners[at]]) << _COVER | least).astype(np.int64)),
                 ],
-                ["key", "doc", "at"],
+                ["run", "key", "doc", "place"],
             )
 
 
-_SORTED = "doc bigint, at int, head_doc bigint, head_at int, key bigint, side int"
+_SORTED = "doc bigint, place bigint, head_doc bigint, head_place bigint, key bigint, side int"
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted suffixes, each compared with the one before and matched to the first of its run.
+    """Sorted suffixes, each compared with the one before and matched to the first of its class.
 
-    The first of a run gives no row. Side 1 marks the partition's first run, which may have begun
-    in the partition before, with its first suffix; one row of side 2 tells how the last run began.
+    The first of a class is matched to itself, and left out if its class is a whole run. Side 1 marks the
+    partition's first class, which may have begun in the partition before; one row of side 2 tells how the last
+    class began. A partition's first and last run may have more classes elsewhere, so theirs are never left out.
     """
     names = [f.split()[0] for f in _SORTED.split(", ")]
-    first_key, state = None, (0, 0, 0)
+    first_run = first_key = None
+    # The class and run that the next batch may go on with, and the first of that run while it is left out.
+    run_, key_, head, held = 0, 0, (0, 0), None
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, doc, at = (batch.column(i).to_numpy() for i in range(3))
-        new = np.ones(len(key), bool)
+        run, key, doc, place = (batch.column(i).to_numpy() for i in range(4))
+        begun = first_run is None
+        if begun:
+            first_run, first_key = run[0], key[0]
+        new_run, new = np.ones(len(run), bool), np.ones(len(run), bool)
+        new_run[1:] = run[1:] != run[:-1]
+        new_run[0] = begun or run[0] != run_
         new[1:] = key[1:] != key[:-1]
-        new[0] = first_key is None or key[0] != state[0]
-        if first_key is None:
-            first_key = key[0]
-        begins, run = np.flatnonzero(new), np.cumsum(new)
-        head_doc = np.concatenate(([state[1]], doc[begins]))[run]
-        head_at = np.concatenate(([state[2]], at[begins])).astype(np.int32)[run]
-        state = (key[-1], head_doc[-1], head_at[-1])
-        edge = key == first_key
-        shown = ~new | edge
-        columns = [doc, at, head_doc, head_at, key, edge.astype(np.int32)]
-        yield pa.RecordBatch.from_arrays([pa.array(c[shown]) for c in columns], names)
-    if first_key is not None:
-        values = [0, 0, state[1], state[2], state[0], 2]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+        new[0] = begun or key[0] != key_
+        new |= new_run
+        begins, of = np.flatnonzero(new), np.cumsum(new)
+        head_doc = np.concatenate(([head[0]], doc[begins]))[of]
+        head_place = np.concatenate(([head[1]], place[begins]))[of]
+        # Runs by number, 0 being the one that the batch before ended with.
+        number = np.cumsum(new_run)
+        many = np.zeros(number[-1] + 1, bool)
+        many[number[new & ~new_run]] = True
+        shown = ~new | (run == first_run) | many[number]
+        columns = [doc, place, head_doc, head_place, key, (key == first_key).astype(np.int32)]
+        columns = [c[shown] for c in columns]
+        if held is not None and many[0]:
+            more = [held[0], held[1], held[0], held[1], held[2], 0]
+            columns = [np.concatenate((np.array([v], c.dtype), c)) for v, c in zip(more, columns)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+        if number[-1]:
+            last = int(np.flatnonzero(new_run)[-1])
+            held = None if many[-1] or run[-1] == first_run else (doc[last], place[last], key[last])
+        elif many[0]:
+            held = None
+        run_, key_, head = run[-1], key[-1], (head_doc[-1], head_place[-1])
+    if first_run is not None:
+        rows = [[0, 0, *head, key_, 2]] if held is None else [[0, 0, *head, key_, 2], [held[0], held[1], held[0], held[1], held[2], 0]]
+        kinds = [pa.int64()] * 5 + [pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array([int(v) for v in c], k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def _with_heads(batches: Iterator[pa.RecordBatch], begun: dict[int, tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    """All matches, those in the first run of a partition with the head of the whole run."""
+    """All matches, those in the first class of a partition with the head of the whole class."""
     for batch in batches:
-        doc, at, head_doc, head_at, key, side = (batch.column(i).to_numpy() for i in range(6))
-        head_doc, head_at = head_doc.copy(), head_at.copy()
+        doc, place, head_doc, head_place, key, side = (batch.column(i).to_numpy() for i in range(6))
+        head_doc, head_place = head_doc.copy(), head_place.copy()
         for value in np.unique(key[side == 1]):
-            doc_, at_ = begun.get(int(value), (None, None))
+            doc_, place_ = begun.get(int(value), (None, None))
             if doc_ is not None:
-                later = (side == 1) & (key == value) & ((head_doc > doc_) | ((head_doc == doc_) & (head_at > at_)))
-                head_doc[later], head_at[later] = doc_, at_
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, at, head_doc, head_at)], ["doc", "at", "head_doc", "head_at"])
+                later = (side == 1) & (key == value) & ((head_doc > doc_) | ((head_doc == doc_) & (head_place > place_)))
+                head_doc[later], head_place[later] = doc_, place_
+        columns = [doc, place >> _COVER, head_doc, head_place >> _COVER, (place & ((1 << _COVER) - 1)).astype(np.int32)]
+        columns[1], columns[3] = columns[1].astype(np.int32), columns[3].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "at", "head_doc", "head_at", "cover"])
+
+
+def _classes(suffixes: DataFrame) -> DataFrame:
+    """``doc, at, head_doc, head_at, cover``: suffixes with the first of their class; a first with itself, if its run has more."""
+    # A range of (run, key, doc, place) holds few rows even of a run that is a third of all suffixes.
+    order = ["run", "key", "doc", "place"]
+    ordered = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+    runs = cut_lineage(ordered.mapInArrow(_neighbours, _SORTED))
+    # One row of each partition tells how its last class began, and of a class over several partitions the first counts.
+    begun: dict[int, tuple[int, int]] = {}
+    for row in runs.where("side = 2").select("key", "head_doc", "head_place").collect():
+        own = (row.head_doc, row.head_place)
+        begun[row.key] = min(begun.get(row.key, own), own)
+    matched = "doc bigint, at int, head_doc bigint, head_at int, cover int"
+    return runs.where("side < 2").mapInArrow(lambda b: _with_heads(b, begun), matched)
+
+
+_LATER = "doc <> head_doc or at <> head_at"
+
+
+def _retained_classes(texts: DataFrame, settings: Settings) -> DataFrame:
+    return _classes(texts.mapInArrow(lambda b: _suffixes(b, settings), _SUFFIX))
 
 
 def matched_suffixes(texts: DataFrame, settings: Settings) -> DataFrame:
-    """``doc, at, head_doc, head_at``: retained suffixes that begin like an earlier one, and the first of those.
+    """``doc, at, head_doc, head_at, cover``: retained suffixes that stand in the surroundings of an earlier one, and the first of those.
 
     ``texts`` has a bigint key and a text. Earlier is by key, then by place. Texts of equal keys count as one.
+    ``cover`` words are equal from the suffix on, and before it as many as there are, less than ``window``.
     """
-    suffixes = texts.mapInArrow(lambda b: _suffixes(b, settings), "key bigint, doc bigint, at int")
-    # A range of (key, doc, at) holds few rows even of a run that is a third of all suffixes.
-    ordered = suffixes.repartitionByRange("key", "doc", "at").sortWithinPartitions("key", "doc", "at")
-    runs = cut_lineage(ordered.mapInArrow(_neighbours, _SORTED))
-    # One row of each partition tells how its last run began, and of a run over several partitions the first counts.
-    begun: dict[int, tuple[int, int]] = {}
-    for row in runs.where("side = 2").select("key", "head_doc", "head_at").collect():
-        own = (row.head_doc, row.head_at)
-        begun[row.key] = min(begun.get(row.key, own), own)
-    matched = "doc bigint, at int, head_doc bigint, head_at int"
-    found = runs.where("side < 2").mapInArrow(lambda b: _with_heads(b, begun), matched)
-    return found.where("doc <> head_doc or at <> head_at")
+    return _retained_classes(texts, settings).where(_LATER)
 
 
-def _segments(matches: DataFrame, settings: Settings) -> DataFrame:
-    """Matches on one diagonal whose words touch, as one: ``doc, first, last, head, shift``."""
+def _segments(matches: DataFrame) -> DataFrame:
+    """Equal spans ``doc, head_doc, shift, first, last`` of one diagonal that touch, as one."""
     one = ["doc", "head_doc", "shift"]
-    placed = matches.select("doc", "head_doc", (F.col("at") - F.col("head_at")).alias("shift"), "at").distinct()
-    along = Window.partitionBy(*one).orderBy("at")
-    apart = F.coalesce(F.col("at") - F.lag("at").over(along) > settings.anchor, F.lit(False)).cast("int")
-    numbered = placed.withColumn("_apart", apart).withColumn("_n", F.sum("_apart").over(along))
-    return numbered.groupBy(*one, "_n").agg(
-        F.min("at").alias("first"), (F.max("at") + settings.anchor).alias("last")
-    ).drop("_n")
-
-
-def _contexts(reach: int):
-    """Word hashes before and after each asked span of a text, nearest first."""
-
-    def of(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for part in steps(texts):
-            found = find_words(part)
-            hashes = word_hashes(part, found).view(np.int64)
-            for i in range(len(part)):
-                own = hashes[found.bounds[i] : found.bounds[i + 1]]
-                out.append(
-                    [
-                        {
-                            "first": s["first"], "last": s["last"],
-                            "left": own[max(0, s["first"] - reach) : s["first"]][::-1],
-                            "right": own[s["last"] : s["last"] + reach],
-                        }
-                        for s in spans[part.first + i].as_py()
-                    ]
-                )
-        kind = [("first", pa.int32()), ("last", pa.int32()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))]
-        return pa.array(out, pa.list_(pa.struct(kind)))
-
-    return F.arrow_udf(of, "array<struct<first:int,last:int,left:array<bigint>,right:array<bigint>>>")
-
-
-def _common(a: Column, b: Column) -> Column:
-    """Number of leading elements that two arrays share."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    differs = F.array_position(same, F.lit(False))
-    return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
+    along = Window.partitionBy(*one).orderBy("first", "last")
+    before = F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("first") > before, F.lit(False)).cast("int")
+    numbered = matches.distinct().withColumn("_apart", apart).withColumn("_n", F.sum("_apart").over(along))
+    return numbered.groupBy(*one, "_n").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_n")
+
+
+def _spans(matches: DataFrame, left: int) -> DataFrame:
+    """Matches as equal spans, which begin up to ``left`` words before the place, as far as the text goes."""
+    return matches.where(_LATER).select(
+        "doc", "head_doc", (F.col("at") - F.col("head_at")).alias("shift"),
+        F.greatest(F.col("at") - left, F.lit(0)).alias("first"), (F.col("at") + F.col("cover")).alias("last"),
+    )
 
 
 def text_key(id_column: str, text_column: str) -> Column:
@@ -220,35 +283,21 @@ def repeated_passages(
     texts = documents.where(F.col(text_column).isNotNull()).select(
         text_key(id_column, text_column).alias("_doc"), F.col(text_column).alias("_text"), F.col(id_column).alias("_id")
     )
-    segments = cut_lineage(_segments(matched_suffixes(texts.select("_doc", "_text"), settings), settings))
-    of_first, of_last = F.col("first") - F.col("shift"), F.col("last") - F.col("shift")
-    spans = segments.select(F.col("doc").alias("_doc"), "first", "last").union(
-        segments.select("head_doc", of_first, of_last)
-    )
-    # The ends of a text's spans, each asked for once, however many texts repeat it.
-    asked = spans.distinct().groupBy("_doc").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
-    around = asked.join(texts, "_doc").select(
-        "_doc", "_id", F.explode(_contexts(settings.window)(F.col("_text"), F.col("_spans"))).alias("c")
-    )
-    around = cut_lineage(around.select("_doc", "_id", "c.*").dropDuplicates(["_doc", "first", "last"]))
-    here = around.select(
-        F.col("_doc").alias("doc"), "first", "last", F.col("_id").alias("id"), F.col("left").alias("l"), F.col("right").alias("r")
-    )
-    there = around.select(
-        F.col("_doc").alias("head_doc"), F.col("first").alias("of_first"), F.col("last").alias("of_last"),
-        F.col("_id").alias("of_id"), F.col("left").alias("of_l"), F.col("right").alias("of_r"),
-    )
-    both = (
-        segments.withColumn("of_first", of_first).withColumn("of_last", of_last)
-        .join(here, ["doc", "first", "last"]).join(there, ["head_doc", "of_first", "of_last"])
-    )
-    grown = both.withColumn("_l", _common(F.col("l"), F.col("of_l"))).withColumn("_r", _common(F.col("r"), F.col("of_r")))
-    grown = grown.where(F.col("last") - F.col("first") + F.col("_l") + F.col("_r") >= settings.least)
-    return grown.select(
-        F.col("doc").alias("_doc"), F.col("id").alias(id_column),
-        (F.col("first") - F.col("_l")).alias("first"), (F.col("last") + F.col("_r")).alias("last"),
-        F.col("of_id").alias(f"of_{id_column}"),
-        (F.col("of_first") - F.col("_l")).alias("of_first"), (F.col("of_last") + F.col("_r")).alias("of_last"),
+    classes = cut_lineage(_retained_classes(texts.select("_doc", "_text"), settings))
+    firsts = classes.where(f"not ({_LATER})").groupBy("doc").agg(F.collect_set("at").alias("_places"))
+    asked = texts.select("_doc", "_text").join(firsts, F.col("_doc") == F.col("doc")).select("_doc", "_text", "_places")
+    windows = _classes(asked.mapInArrow(lambda b: _windows(b, settings), _SUFFIX))
+    spans = _spans(classes, settings.window - 1).union(_spans(windows, 0))
+    segments = cut_lineage(_segments(spans).where(F.col("last") - F.col("first") >= settings.least))
+    ids = texts.select("_doc", "_id").dropDuplicates(["_doc"])
+    # The earliest text of a common passage is the head of very many rows, so heads are spread over parts.
+    segments = segments.withColumn("_part", F.pmod(F.xxhash64("doc"), F.lit(_PARTS)))
+    heads = segments.select("head_doc").distinct().join(ids.select(F.col("_doc").alias("head_doc"), F.col("_id").alias("of_id")), "head_doc")
+    heads = heads.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_PARTS - 1).cast("bigint"))).alias("_part"))
+    named = segments.join(ids.select(F.col("_doc").alias("doc"), F.col("_id").alias("id")), "doc").join(heads, ["head_doc", "_part"])
+    return named.select(
+        F.col("doc").alias("_doc"), F.col("id").alias(id_column), "first", "last", F.col("of_id").alias(f"of_{id_column}"),
+        (F.col("first") - F.col("shift")).alias("of_first"), (F.col("last") - F.col("shift")).alias("of_last"),
     ).distinct()
 
 

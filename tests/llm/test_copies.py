@@ -183,6 +183,54 @@ def test_random_passages_against_all_windows(spark, documents, prose):
     assert sum(map(len, left.values())) < sum(map(len, words.values()))
 
 
+def missed(spark, table, rows):
+    """Words of windows of fifty words that stand in an earlier place too and that no row reports."""
+    keys = {r.doc_id: r.k for r in table.select("doc_id", suffixes.text_key("doc_id", "text").alias("k")).collect()}
+    words = {i: t.split() for i, t in rows}
+    windows, left = defaultdict(list), defaultdict(set)
+    for i, w in words.items():
+        for at in range(len(w) - 49):
+            windows[tuple(w[at : at + 50])].append((keys[i], at, i))
+    for places in windows.values():
+        for _, at, i in sorted(places)[1:]:
+            left[i] |= set(range(at, at + 50))
+    assert left
+    for r in suffixes.repeated_passages(table).collect():
+        assert words[r.doc_id][r["first"] : r["last"]] == words[r.of_doc_id][r.of_first : r.of_last]
+        assert r["last"] - r["first"] >= 50
+        assert (keys[r.of_doc_id], r.of_first) < (keys[r.doc_id], r["first"])
+        left[r.doc_id] -= set(range(r["first"], r["last"]))
+    return {i: at for i, at in left.items() if at}
+
+
+def test_passages_that_earlier_texts_hold_in_part(spark, documents, prose):
+    rng, rows = random.Random(8), []
+    for p in range(12):
+        passage = prose(f"passage {p}", rng.randrange(50, 90)).split()
+        for i in range(12):
+            size = rng.randrange(35, 50) if i % 3 else len(passage)
+            at = rng.choice((0, len(passage) - size, rng.randrange(len(passage) - size + 1)))
+            part = " ".join(passage[at : at + size])
+            before, after = prose(f"b{p} {i}", rng.randrange(40)), prose(f"a{p} {i}", rng.randrange(40))
+            rows.append((100 * p + i, f"{before} {part} {after}"))
+    header, groups = prose("header", 44), [prose(f"g{i}", rng.randrange(6, 40)) for i in range(12)]
+    rows += [(5000 + i, f"{header} {groups[i % 12]} {prose(f'h{i}', 30)}") for i in range(120)]
+    rows += [(6000, " ".join(["again"] * 130)), (6001, f"x {' '.join(['again'] * 70)} y")]
+    table = documents(rows)
+    assert missed(spark, table, rows) == {}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert missed(spark, table, rows) == {}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
 def test_cut_documents_keep_rows_and_columns(spark, documents, prose):
     copy = prose("z", 120)
     rows = [(1, copy), (2, copy), (3, prose("y", 80)), *ODD]
