@@ -239,16 +239,14 @@ def component_table(marked: DataFrame, id_column: str, radius: int = 2, shard_si
 class Similar:
     """Near copies on ``words``-word shingles whose Jaccard similarity is ``similarity`` or more.
 
-    At 0.8 fingerprints of 64 bits differ in 10 bits on average, and hardly ever in more than
-    ``radius``. That is too wide for blocks of bits, so texts meet in a tree shard if they agree in all
-    samples of one of ``bands`` groups of ``rows`` sampled shingles; a similar pair misses all with a chance of
-    (1 - 0.8^3)^12, below 0.0002. Pairs that a tree search finds and that do not fall short by more than
-    ``slack`` deviations on ``samples`` samples are candidates; their sets of shingles decide.
+    At 0.8 fingerprints of 64 bits differ in 10 bits on average, too many for blocks of bits, and far more where one
+    text repeats a line. So texts meet in a shard if they agree in all samples of one of ``bands`` groups of ``rows``
+    sampled shingles; a similar pair misses all with a chance of (1 - 0.8^3)^12, below 0.0002. Pairs that meet and that
+    do not fall short by more than ``slack`` deviations on ``samples`` samples are candidates; their sets of shingles decide.
     """
 
     words: int = 5
     similarity: float = 0.8
-    radius: int = 17
     bands: int = 12
     rows: int = 3
     samples: int = 128
@@ -266,24 +264,21 @@ class Similar:
 
 
 def _marks(settings: Similar):
-    """Fingerprint, band keys, one byte of each sample, a hash of all shingles in order, and their number."""
+    """Band keys, one byte of each sample, a hash of all shingles in order, and their number."""
     rng = np.random.default_rng(3)
     factor = rng.integers(1, 1 << 63, settings.samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def of(texts: pa.Array) -> pa.Array:
-        prints, bands, sketches, whole, sizes = [], [], [], [], []
+        bands, sketches, whole, sizes = [], [], [], []
         for text in texts:
-            ones, n, digest = np.zeros(BITS, np.int64), 0, xxhash.xxh64(seed=7)
+            n, digest = 0, xxhash.xxh64(seed=7)
             least = np.full(settings.samples, np.iinfo(np.uint64).max, np.uint64)
             for hashes in shingle_hashes(text.as_py(), settings.words):
                 n += len(hashes)
-                big = hashes.astype(">u8")
-                digest.update(big.tobytes())
-                ones += np.unpackbits(big.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+                digest.update(hashes.astype(">u8").tobytes())
                 for at in range(0, len(hashes), 2048):
                     part = mix(hashes[at : at + 2048])
                     least = np.minimum(least, (part[:, None] * factor[None, :]).min(axis=0))
-            prints.append(int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big"))
             whole.append(digest.intdigest())
             sizes.append(n)
             used = least[: settings.bands * settings.rows].reshape(settings.bands, settings.rows)
@@ -293,20 +288,18 @@ def _marks(settings: Similar):
             bands.append(key.view(np.int64))
             sketches.append(mix(least).astype(np.uint8).tobytes())
         columns = [
-            pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
-            pa.array(sketches, pa.binary()), pa.array(np.array(whole, np.uint64).view(np.int64)),
+            pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+            pa.array(np.array(whole, np.uint64).view(np.int64)),
             pa.array(sizes, pa.int64()),
         ]
-        return pa.StructArray.from_arrays(columns, ["fingerprint", "bands", "sketch", "whole", "size"])
+        return pa.StructArray.from_arrays(columns, ["bands", "sketch", "whole", "size"])
 
-    return F.arrow_udf(of, "struct<fingerprint:bigint,bands:array<bigint>,sketch:binary,whole:bigint,size:bigint>")
+    return F.arrow_udf(of, "struct<bands:array<bigint>,sketch:binary,whole:bigint,size:bigint>")
 
 
-def _similar_stars(
-    values: list[int], nodes: np.ndarray, sketches: np.ndarray, cut: int | None, settings: Similar
-) -> list[tuple[int, int]]:
-    """Links between candidates of one shard (``cut`` is None), or of two: those after ``cut`` ask the tree of the others."""
-    tree, parent = BKTree(), list(range(len(values)))
+def _similar_stars(nodes: np.ndarray, sketches: np.ndarray, cut: int | None, settings: Similar) -> list[tuple[int, int]]:
+    """Links between candidates of one shard (``cut`` is None), or of two: those after ``cut`` meet the others."""
+    parent = list(range(len(nodes)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -314,32 +307,26 @@ def _similar_stars(
             x = parent[x]
         return x
 
-    for i, value in enumerate(values):
-        if cut is None or i >= cut:
-            near = [j for j in tree.within(value, settings.radius) if root(j) != root(i)]
-            if near:
-                same = (sketches[near] == sketches[i]).sum(axis=1)
-                for j in np.array(near)[same >= settings.need].tolist():
-                    parent[root(i)] = root(j)
-        if cut is None or i < cut:
-            tree.add(value)
-    return [(int(nodes[i]), int(nodes[root(i)])) for i in range(len(values)) if root(i) != i]
+    for i in range(1 if cut is None else cut, len(nodes)):
+        same = (sketches[: i if cut is None else cut] == sketches[i]).sum(axis=1)
+        for j in np.flatnonzero(same >= settings.need).tolist():
+            parent[root(i)] = root(j)
+    return [(int(nodes[i]), int(nodes[root(i)])) for i in range(len(nodes)) if root(i) != i]
 
 
 def _similar_units(batches: Iterator[pa.RecordBatch], settings: Similar) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by unit (band, bucket, tree shard, query shard) and side, to links of texts."""
+    """Rows sorted by unit (band, bucket, shard, shard) and side, to links of texts."""
 
     def links(unit: np.ndarray, rows: pa.Table) -> list[tuple[int, int]]:
         bounds = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
         side = rows["side"].to_numpy()
-        values = rows["value"].to_numpy().view(np.uint64)
         nodes, sketches = rows["whole"].to_numpy(), rows["sketch"].combine_chunks()
         out: list[tuple[int, int]] = []
         for a, b in zip(bounds, bounds[1:]):
             if b - a > 1:
                 own = np.frombuffer(b"".join(s.as_py() for s in sketches[a:b]), np.uint8).reshape(b - a, -1)
                 cut = None if unit[a, 2] == unit[a, 3] else int((side[a:b] == 0).sum())
-                out.extend(_similar_stars(values[a:b].tolist(), nodes[a:b], own, cut, settings))
+                out.extend(_similar_stars(nodes[a:b], own, cut, settings))
         return out
 
     def batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -363,25 +350,23 @@ def _similar_units(batches: Iterator[pa.RecordBatch], settings: Similar) -> Iter
 
 
 def similar_links(texts: DataFrame, settings: Similar | None = None) -> DataFrame:
-    """Links ``a, b`` that join candidates among distinct texts (``whole, fingerprint, bands, sketch``).
+    """Links ``a, b`` that join candidates among distinct texts (``whole, bands, sketch``).
 
     Candidates are joined by stars: linked texts need not be candidates of each other.
     """
     settings = settings or Similar()
-    keyed = texts.select(
-        "whole", F.col("fingerprint").alias("value"), "sketch", F.posexplode("bands").alias("part", "bucket")
-    )
+    keyed = texts.select("whole", "sketch", F.posexplode("bands").alias("part", "bucket"))
     shared = keyed.groupBy("part", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     shards = F.ceil(F.col("n") / settings.shard_size).cast("int")
     met = keyed.join(shared, ["part", "bucket"]).select(
-        "part", "bucket", "value", "whole", "sketch", shards.alias("shards"),
+        "part", "bucket", "whole", "sketch", shards.alias("shards"),
         F.pmod(F.xxhash64("whole"), shards).cast("int").alias("shard"),
     )
     met = met.select("*", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("other"))
     units = met.select(
         "part", "bucket",
         F.least("shard", "other").alias("tree"), F.greatest("shard", "other").alias("query"),
-        F.when(F.col("shard") <= F.col("other"), 0).otherwise(1).alias("side"), "value", "whole", "sketch",
+        F.when(F.col("shard") <= F.col("other"), 0).otherwise(1).alias("side"), "whole", "sketch",
     )
     unit = ["part", "bucket", "tree", "query"]
     placed = units.repartition(*unit).sortWithinPartitions(*unit, "side", "whole")
@@ -502,7 +487,7 @@ def keep_one(
     )
     distinct = cut_lineage(
         marked.groupBy("whole").agg(
-            F.min("_who").alias("_least"), *[F.first(c).alias(c) for c in ("fingerprint", "bands", "sketch", "size")]
+            F.min("_who").alias("_least"), *[F.first(c).alias(c) for c in ("bands", "sketch", "size")]
         )
     )
     candidates = components(similar_links(distinct, settings)).select(F.col("vertex").alias("whole"), "root")

@@ -137,6 +137,19 @@ def test_pairs_near_the_limit_are_decided_exactly(spark, documents, prose):
         assert {r.doc_id for r in simhash.keep_one(documents(rows), settings=settings).collect()} == want
 
 
+def test_copies_that_repeat_a_line_or_are_very_short(spark, documents, prose):
+    rows, want = [], set()
+    for i in range(10):
+        line, rest = prose(f"line {i}", 8), prose(f"rest {i}", 60)
+        rows += [(10 * i, f"{line} {line} {rest}"), (10 * i + 1, f"{line} " * 500 + rest)]
+        want.add(10 * i)
+    for i in range(100, 250):
+        words = prose(f"short {i}", 9, 10**9)
+        rows += [(10 * i, words), (10 * i + 1, words.rsplit(" ", 1)[0])]  # five shingles and four
+        want.add(10 * i)
+    assert {r.doc_id for r in simhash.keep_one(documents(rows)).collect()} == want
+
+
 def test_repeated_passages_are_found_and_true(spark, documents, prose):
     shared, other = prose("p", 60), prose("q", 50)
     rows = [(i, f"{prose(('a', i).__repr__(), 30 + 9 * i)} {shared} {prose(('b', i).__repr__(), 25)}") for i in range(6)]
