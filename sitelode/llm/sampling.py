@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def balanced_sample(rows: DataFrame, key: Column, label: str, per_label: int, seed: str) -> DataFrame:
     """About ``per_label`` rows of every label (all, where there are fewer), chosen by a hash of ``key``.
 
-    One narrow pass counts the labels; the choice itself needs no sort and no shuffle,
+    One narrow pass counts the labels, and the counts of all of them come to the driver; the choice itself needs no sort and no shuffle,
     and a rerun makes the same one.
     """
-    sizes = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(256).collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).collect()}
     if not sizes:
         return rows.limit(0)
     draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 from sitelode.llm import ann, language, lm, queries, toxicity
+from sitelode.llm.sampling import balanced_sample
 
 ODD = [(None, None), (900, None), (901, ""), (902, " \n "), (903, "1234 !!"), (903, "1234 !!"), (904, "é"), (905, "a\n\na\nb a")]
 
@@ -236,3 +237,8 @@ def test_few_neighbours_and_small_blocks(spark):
     assert [(r.vec_id, r.score) for r in rows] == [(2, 0.0), (2, 0.0), (1, math.sqrt(2))]
     assert ann.nearest(table.limit(0), F.col("vec_id") == 0).count() == 0
     assert ann.nearest(table, F.col("vec_id") == 77).count() == 0
+
+
+def test_sample_holds_every_label(spark):
+    rows = spark.createDataFrame([(i, f"l{i % 300}") for i in range(600)] + [(1000, "once")], "id bigint, label string")
+    assert balanced_sample(rows, F.col("id"), "label", 5, "x").select("label").distinct().count() == 301
