@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, lm, mixing, packing, repetition, sharding, simhash, suffixes, toxicity
+from . import ann, language, lm, manifest, mixing, packing, repetition, sharding, simhash, suffixes, toxicity
+from .oracle import ORACLE
 from .sampling import fold
 
 
@@ -88,6 +89,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by source, with each row's proof tried on a tampered text."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = _table(spark, sf_dir, "documents")
+    stripped = [F.replace("text", F.lit("\n"), F.lit("")) if f == "text" else F.col(f) for f in fields]
+    tampered = F.when(fold(F.col("doc_id"), 2) == 0, manifest.digest(manifest.record(*stripped)))
+    proven = manifest.manifest(documents, "doc_id", "source", fields, {"tampered": tampered})
+    told = proven.select(
+        "doc_id", "source", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        manifest.folded(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root"),
+    )
+    return told.withColumn("verified", F.col("folded_root") == F.col("root")).drop("source")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op9_lm": op9_lm,
@@ -99,5 +114,6 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_suffixes": op7_suffixes,
     "op8_simhash": op8_simhash,
+    "op11_manifest": op11_manifest,
 }
-ORACLE: dict[str, str] = {}
+
