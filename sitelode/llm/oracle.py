@@ -77,4 +77,91 @@ FROM walk w JOIN low_roots r ON r.grp = w.grp CROSS JOIN top_roots t
 WHERE w.tier = 1 AND w.lvl = t.levels
 """
 
-ORACLE: dict[str, str] = {"op11_manifest": _OP11}
+
+def _edit(value: str, cost: str, initial: str, when: str = "true") -> str:
+    return f"CASE WHEN {when} AND {value} IS NOT NULL THEN {{'c': {value}.c + {cost}, 'a': '{initial}' || {value}.a}} END"
+
+
+def _least(*values: str) -> str:
+    return f"list_min([{', '.join(values)}])"
+
+
+def _past_row(state: str) -> str:
+    """The best end of the audit from a state (nothing yet, system, user, assistant) before a row, by those after it."""
+    kept = {"s": (("s", "y"), ("u", "u")), "y": (("u", "u"),), "u": (("a", "a"),), "a": (("u", "u"),)}[state]
+    following = "a" if state == "u" else "u"
+    return _least(
+        _edit(f"b.{state}", "2", "D"),
+        *[_edit(f"b.{to}", "r.late", "K", f"r.stays AND r.initial = '{initial}'") for initial, to in kept],
+        _edit(f"b.{following}", "1 + r.late", "R", "r.stays"),
+    )
+
+
+_OP12 = rf"""
+WITH RECURSIVE kinds AS (
+  SELECT CASE WHEN conv_id IS NULL THEN '' ELSE '=' || conv_id::VARCHAR END AS conv, turn,
+    coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations
+),
+hurt AS (
+  SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+),
+said AS (SELECT *, sha256(octet_length(encode(role))::VARCHAR || ':' || role || text) AS said FROM hurt),
+placed AS (
+  SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv) AS n, left(role, 1) AS initial,
+    left(role, 1) || left(lead(role) OVER w, 1) AS pair
+  FROM said WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, said)
+),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN pos > min(pos) OVER (PARTITION BY conv, said) THEN 'duplicate'
+    WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM placed
+),
+rows_ AS (
+  SELECT *, coalesce(fault, '') NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS late
+  FROM judged
+),
+past(conv, pos, s, y, u, a) AS (
+  SELECT DISTINCT conv, n, {{'c': 0::BIGINT, 'a': ''}}, {{'c': 10::BIGINT, 'a': 'II'}},
+    {{'c': 5::BIGINT, 'a': 'I'}}, {{'c': 0::BIGINT, 'a': ''}} FROM rows_
+  UNION ALL
+  SELECT conv, pos - 1,
+    {_least("s", _edit("u2", "5", "I"))}, {_least("y", _edit("u2", "5", "I"))}, u2, {_least("a", _edit("u", "5", "I"))}
+  FROM (SELECT *, {_least("u", _edit("a", "5", "I"))} AS u2 FROM (
+    SELECT b.conv, b.pos, {", ".join(f"{_past_row(state)} AS {state}" for state in "syua")}
+    FROM past b JOIN rows_ r ON r.conv = b.conv AND r.pos = b.pos))
+),
+best AS (SELECT conv, s.c AS cost, s.a AS audit FROM past WHERE pos = 0),
+edits AS (
+  SELECT conv, i, substr(audit, i, 1) AS edit, (length(audit) - length(replace(audit, 'D', ''))) AS gone, length(audit) AS size
+  FROM best, range(1, length(audit) + 1) AS t(i)
+),
+lines AS (
+  SELECT *, (size - gone) % 2 AS odd, count(*) FILTER (WHERE edit <> 'D') OVER w - 1 AS line,
+    count(*) FILTER (WHERE edit <> 'I') OVER w AS pos
+  FROM edits WINDOW w AS (PARTITION BY conv ORDER BY i ROWS UNBOUNDED PRECEDING)
+),
+digests AS (
+  SELECT l.conv, sha256(string_agg(
+    CASE WHEN edit = 'K' THEN r.role WHEN (line - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':'
+    || CASE WHEN edit = 'I' THEN '' ELSE r.text END, chr(10) ORDER BY line)) AS digest
+  FROM lines l LEFT JOIN rows_ r ON r.conv = l.conv AND r.pos = l.pos WHERE edit <> 'D' GROUP BY l.conv
+),
+counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE pos < n AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv
+)
+SELECT i.conv_id, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))},
+  coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, CASE WHEN conv_id IS NULL THEN '' ELSE '=' || conv_id::VARCHAR END AS conv FROM conversations) i
+LEFT JOIN counts USING (conv) LEFT JOIN best USING (conv) LEFT JOIN digests USING (conv)
+"""
+
+ORACLE: dict[str, str] = {"op11_manifest": _OP11, "op12_conversations": _OP12}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, lm, manifest, mixing, packing, repetition, sharding, simhash, suffixes, toxicity
+from . import ann, conversations, language, lm, manifest, mixing, packing, repetition, sharding, simhash, suffixes, toxicity
 from .oracle import ORACLE
 from .sampling import fold
 
@@ -103,6 +103,21 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root")).drop("source")
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: what is wrong with each, the cheapest repair and a digest of the repaired rows."""
+    given = _table(spark, sf_dir, "conversations")
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    repaired = conversations.repair(conversations.damaged(given, conv, F.concat(named[0], F.lit(":"), named[1])))
+    every = given.select("conv_id", conv.alias("conv")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    told = every.join(repaired.summary, "conv", "left").join(conversations.line_digests(repaired.lines), "conv", "left")
+    return told.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op9_lm": op9_lm,
@@ -115,5 +130,6 @@ QUERIES = {
     "op7_suffixes": op7_suffixes,
     "op8_simhash": op8_simhash,
     "op11_manifest": op11_manifest,
+    "op12_conversations": op12_conversations,
 }
 
