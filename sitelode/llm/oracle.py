@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
+from . import licenses
+
 
 def _crc32(text: str) -> str:
     """Unsigned CRC-32 of an ASCII text, bit by bit with the reversed polynomial."""
@@ -164,4 +168,53 @@ FROM (SELECT DISTINCT conv_id, CASE WHEN conv_id IS NULL THEN '' ELSE '=' || con
 LEFT JOIN counts USING (conv) LEFT JOIN best USING (conv) LEFT JOIN digests USING (conv)
 """
 
-ORACLE: dict[str, str] = {"op11_manifest": _OP11, "op12_conversations": _OP12}
+
+def _licenses(settings: licenses.Settings) -> str:
+    """Every block against every template of its class."""
+    phrases = ", ".join(f"('{p}', {len(p.split())}, '{label}')" for p, label in settings.phrases.items())
+    notices = [
+        f"({i}, {size}, '{label}', {sorted(set(text.split()))}, ceil({settings.threshold} * {len(set(text.split()))} - 1e-9)::BIGINT)"
+        for i, ((text, label), size) in enumerate(zip(settings.notices, licenses.template_sizes(settings), strict=True))
+    ]
+    return rf"""
+WITH phrases(phrase, k, label) AS (VALUES {phrases}),
+notices(notice, size, label, words, needed) AS (VALUES {", ".join(notices)}),
+texts AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+    translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+places AS (
+  SELECT row, label, unnest(list_filter(range(1, len(t.words) + 1), lambda i: array_to_string(t.words[i:i + k - 1], ' ') = phrase)) - 1 AS place
+  FROM texts t, phrases
+),
+base AS (
+  SELECT row, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list_sort(list(DISTINCT label)) AS labels
+  FROM places GROUP BY row
+),
+blocks AS (
+  SELECT row, size, spot, list_distinct(words[spot + 1:spot + 2 * size]) AS held
+  FROM (SELECT row, words, s.size, unnest(range(0, len(words), s.size)) AS spot FROM texts, (SELECT DISTINCT size FROM notices) s)
+),
+met AS (
+  SELECT row, spot, n.*, len(list_intersect(held, n.words)) AS shared
+  FROM blocks b JOIN notices n ON n.size = b.size AND len(list_intersect(held, n.words)) >= needed
+),
+alone AS (
+  SELECT * FROM met m WHERE NOT EXISTS (
+    SELECT 1 FROM met w WHERE w.row = m.row AND w.size = m.size AND w.spot = m.spot AND len(w.words) > len(m.words) AND list_has_all(w.words, m.words))
+),
+best AS (SELECT row, list(DISTINCT label) AS labels, max(shared / len(words)) AS score FROM alone GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0.0)::DOUBLE END AS score
+FROM texts t LEFT JOIN base b USING (row) LEFT JOIN best m USING (row)
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op11_manifest": _OP11,
+    "op12_conversations": _OP12,
+    "op13_licenses": _licenses(licenses.Settings()),
+}

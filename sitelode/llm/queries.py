@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, conversations, language, lm, manifest, mixing, packing, repetition, sharding, simhash, suffixes, toxicity
+from . import ann, conversations, language, licenses, lm, manifest, mixing, packing, repetition, sharding, simhash, suffixes, toxicity
 from .oracle import ORACLE
 from .sampling import fold
 
@@ -118,6 +118,11 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document: phrases, and templates that some block of the text meets."""
+    return licenses.license_scan(_table(spark, sf_dir, "documents"), "text", ["doc_id"])
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op9_lm": op9_lm,
@@ -131,5 +136,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op11_manifest": op11_manifest,
     "op12_conversations": op12_conversations,
+    "op13_licenses": op13_licenses,
 }
 
