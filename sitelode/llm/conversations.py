@@ -19,8 +19,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -283,34 +285,31 @@ def _segments(rows: DataFrame) -> DataFrame:
     return grouped.select("conv", "seg", codes.alias("codes"), illegal.alias("illegal"))
 
 
-def _lines(audit: str, most: int = 8192) -> Iterator[list[tuple[int, int | None, str | None]]]:
+def _lines(audit: str) -> Iterator[tuple[int, int | None, str | None]]:
     """Number, place of the row it comes from and new role of each repaired row. Roles alternate after a system row, if there is one."""
     odd = (len(audit) - audit.count("D")) % 2  # one system row, then pairs
-    lines, line, pos = [], 0, 0
+    line = pos = 0
     for edit in audit:
         pos += edit != "I"
         if edit != "D":
             role = ("user", "assistant")[(line - odd) % 2] if edit in "RI" else None
-            lines.append((line, None if edit == "I" else pos, role))
+            yield line, None if edit == "I" else pos, role
             line += 1
-        if len(lines) == most:
-            yield lines
-            lines = []
-    if lines:
-        yield lines
 
 
 def _steps(audits: DataFrame) -> DataFrame:
     """One row per repaired row: ``conv, line``, the ``pos`` it comes from and its ``given`` role, null if kept."""
 
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for conv, audit in zip(frame["conv"], frame["audit"], strict=True):
-                for lines in _lines(audit):
-                    out = pd.DataFrame(lines, columns=["line", "pos", "given"]).astype({"pos": "Int64"})
-                    yield out.assign(conv=conv)[["conv", "line", "pos", "given"]]
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("conv", "line", "pos", "given")
+        types = (pa.string(), pa.int64(), pa.int64(), pa.string())
+        for batch in batches:
+            lines = ((conv, *step) for conv, audit in zip(*map(pa.Array.to_pylist, batch.columns), strict=True) for step in _lines(audit))
+            while some := list(islice(lines, 16384)):
+                columns = zip(*some, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return audits.select("conv", "audit").mapInPandas(walk, "conv string, line bigint, pos bigint, given string")
+    return audits.select("conv", "audit").mapInArrow(walk, "conv string, line bigint, pos bigint, given string")
 
 
 @dataclass
