@@ -10,6 +10,7 @@ from sitelode.operators import content, docsroot, fetch, frontier, guard, markup
 from sitelode.plans import harvest as whole
 from sitelode.plans import progress, router
 from sitelode.session import cut_lineage, scratch_path
+from sitelode.sources import captures as capture_store
 from sitelode.sources import requests, sitemaps, tables, wiki
 from sitelode.streaming import pages as page_streams
 from sitelode.streaming import progress as progress_streams
@@ -154,9 +155,12 @@ def redirect_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redirected_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captures as a client sees them after redirects."""
-    seen = fetch.follow_redirects(_captures(spark, sf_dir, d.REDIRECT_CAPTURES))
-    return seen.select("fetch_key", F.col("status").cast("bigint").alias("status"), F.md5("body").alias("digest"))
+    """What a client gets by every key: pages under their own, and under those that redirect to them, by the key index."""
+    captured = _captures(spark, sf_dir, d.REDIRECT_CAPTURES)
+    redirects = fetch.final_keys(captured)
+    answers = captured.filter(~fetch.is_redirect()).select(F.col("fetch_key").alias("final_key"), "status", F.md5("body").alias("digest"))
+    asked = answers.select("final_key", F.col("final_key").alias("fetch_key")).unionByName(redirects)
+    return asked.join(answers, "final_key").select("fetch_key", F.col("status").cast("bigint").alias("status"), "digest")
 
 
 def public_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,7 +417,8 @@ def route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Route of every request, rejects included."""
     parsed, _ = requests.parse_requests(d.derive(spark, sf_dir, _ALL_REQUESTS))
     parsed = cut_lineage(parsed)
-    facts = cut_lineage(whole.capture_facts(_captures(spark, sf_dir, _ALL_CAPTURES)))
+    store = capture_store.store_captures(d.derive(spark, sf_dir, _ALL_CAPTURES), scratch_path(spark, "captures"), content.COLUMNS)
+    facts = cut_lineage(store.facts())
     found = cut_lineage(sitemaps.sitemap_pages(parsed, facts))
     advertised = facts.filter("endpoint is not null")
     routed, rejects = router.route_requests(parsed, router.wiki_facts(parsed, advertised, facts), found)

@@ -130,23 +130,21 @@ def page_description(html: Column) -> Column:
 
 
 def extract_columns(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``title``, ``description`` and ``content``, none of them null."""
+    """Add ``title``, ``description``, ``content`` (none of them null) and ``content_status``."""
     html = F.col(body)
-    return pages.withColumns(
-        {
-            "title": page_title(html),
-            "description": page_description(html),
-            "content": F.coalesce(page_content(html), F.lit("")),
-        }
+    read = pages.withColumns(
+        {"title": page_title(html), "description": page_description(html), "content": F.coalesce(page_content(html), F.lit(""))}
     )
+    return read.withColumn("content_status", F.when(F.col("content") != "", F.lit("content")).otherwise(F.lit("blank")))
 
 
 @dataclass(frozen=True)
 class Extractor:
-    """How pages are read, with the rule that tells from a body alone whether there is content to read.
+    """How pages are read.
 
-    ``read`` adds ``title``, ``description`` and ``content`` to rows with a ``body``. ``status`` gives, from a body,
-    ``content``, ``blank`` or ``malformed``; only pages of the first kind are counted and read.
+    ``read`` adds, in one reading of a ``body``, ``title``, ``description``, ``content`` and ``content_status``: ``content``,
+    ``blank`` or ``malformed``; only pages of the first kind are counted. ``status`` gives the same status alone, for
+    jobs that never need the content.
     """
 
     read: Callable[[DataFrame], DataFrame]

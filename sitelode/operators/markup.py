@@ -8,13 +8,11 @@ each row is converted on its own.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .content import DROPPED_EVERYWHERE, DROPPED_IN_REGION, REGIONS, Extractor, page_description, page_title
 
@@ -176,58 +174,57 @@ def markdown_of(
     return parser.text()
 
 
-def _convert(df: DataFrame, html: str, out: str, *rules) -> DataFrame:
-    """Replace column ``html`` by markdown ``out`` and a ``malformed`` flag for rows that failed to parse."""
-    kept = [f for f in df.schema.fields if f.name != html]
-    schema = T.StructType([*kept, T.StructField(out, T.StringType()), T.StructField("malformed", T.BooleanType())])
+def _reading(html: Column, *rules) -> Column:
+    """A column of ``text`` and ``status`` (``content``, ``blank`` or ``malformed``) from one reading of each row's markup.
 
-    def one(text: str | None) -> tuple[str, bool]:
+    Only the markup travels to Python, not the rest of the row. The function counts as nondeterministic, so that
+    no plan runs it once for a filter and again for a result.
+    """
+
+    def one(markup: str | None) -> tuple[str, str]:
         try:
-            return markdown_of(text, *rules), False
+            text = markdown_of(markup, *rules)
         except (AssertionError, ValueError):  # the tokenizer's errors on broken declarations
-            return "", True
+            return "", "malformed"
+        return text, "content" if text.strip() else "blank"
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            done = [one(t) for t in frame[html]]
-            yield frame.drop(columns=[html]).assign(**{out: [m for m, _ in done], "malformed": [b for _, b in done]})
+    @F.arrow_udf("struct<text:string,status:string>")
+    def read(column: pa.Array) -> pa.Array:
+        done = [one(markup) for markup in column.to_pylist()]
+        parts = (pa.array([d[i] for d in done], pa.string()) for i in (0, 1))
+        return pa.StructArray.from_arrays(list(parts), ["text", "status"])
 
-    return df.mapInPandas(batches, schema)
-
-
-def wiki_markdown(articles: DataFrame, html: str = "html", out: str = "content") -> DataFrame:
-    """Wiki article fragments as markdown: furniture removed, link and image markup flattened."""
-    return _convert(articles, html, out, ("style", "script"), NOISE_CLASSES, "*+-", True)
+    return read.asNondeterministic()(html)
 
 
+_ARTICLE_RULES = (("style", "script"), NOISE_CLASSES, "*+-", True)
 _PAGE_RULES = (
     (*DROPPED_EVERYWHERE, *(n for n in DROPPED_IN_REGION if n != "header"), "head", "title"), (), "-", False, REGIONS,
 )
 
 
+def wiki_markdown(articles: DataFrame, html: str = "html", out: str = "content") -> DataFrame:
+    """Wiki article fragments as markdown ``out`` in the place of ``html``: furniture removed, link and image markup flattened.
+
+    ``malformed`` marks articles that could not be read; their markdown is empty.
+    """
+    read = articles.withColumn("_read", _reading(F.col(html), *_ARTICLE_RULES)).drop(html)
+    return read.withColumns({out: F.col("_read.text"), "malformed": F.col("_read.status") == "malformed"}).drop("_read")
+
+
 def extract_parsed(pages: DataFrame, body: str = "body") -> DataFrame:
     """The nested-markup variant of ``extract_columns``: regions and dropped elements by nesting, code and lists kept.
 
     Every article of a page counts. A header stays where it holds a heading. Malformed pages have empty content.
     """
-    named = pages.withColumns({"title": page_title(F.col(body)), "description": page_description(F.col(body)), "_html": F.col(body)})
-    return _convert(named, "_html", "content", *_PAGE_RULES).drop("malformed")
+    html = F.col(body)
+    read = pages.withColumns({"title": page_title(html), "description": page_description(html), "_read": _reading(html, *_PAGE_RULES)})
+    return read.withColumns({"content": F.col("_read.text"), "content_status": F.col("_read.status")}).drop("_read")
 
 
 def parsed_status(html: Column) -> Column:
     """Whether ``extract_parsed`` finds content, by the same reading."""
-
-    @F.pandas_udf("string")
-    def status(bodies: pd.Series) -> pd.Series:
-        def one(text: str | None) -> str:
-            try:
-                return "content" if markdown_of(text, *_PAGE_RULES).strip() else "blank"
-            except (AssertionError, ValueError):
-                return "malformed"
-
-        return bodies.map(one)
-
-    return status(html)
+    return _reading(html, *_PAGE_RULES)["status"]
 
 
 PARSED = Extractor(extract_parsed, parsed_status)

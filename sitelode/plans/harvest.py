@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import has_text
 from ..functions.urls import default_prefix, host, scheme, without_fragment
-from ..operators.content import COLUMNS, Extractor
+from ..operators.content import Extractor
 from ..operators.docsroot import find_docs_roots
-from ..operators.fetch import captures, follow_redirects, unique_captures
-from ..operators.frontier import graph_columns, traverse, with_content_flag
+from ..operators.frontier import traverse
 from ..operators.guard import guard_hosts
 from ..operators.markup import PARSED
-from ..session import cut_lineage, store_columns
+from ..session import cut_lineage, scratch_path, store_columns
+from ..sources.captures import CaptureStore, store_captures
 from ..sources.requests import parse_requests
-from ..sources.sitemaps import MAX_SITEMAPS, site_file_columns, sitemap_pages, unread_sitemaps
-from ..sources.wiki import endpoint_column, list_titles, wiki_pages
+from ..sources.sitemaps import MAX_SITEMAPS, sitemap_pages, unread_sitemaps
+from ..sources.wiki import list_titles, wiki_pages
 from .progress import TIME_BUDGET_MS, apply_caps, crawl_summary, page_log, progress_table
 from .router import route_requests, wiki_facts
 
@@ -45,25 +45,6 @@ def drop_blocked(captured: DataFrame, dns: DataFrame) -> DataFrame:
     return captured.withColumns(parts).join(blocked, list(parts), "left_anti").drop(*parts)
 
 
-def capture_facts(captured: DataFrame, extractor: Extractor = COLUMNS) -> DataFrame:
-    """Everything the plan asks of captures before it reads pages, in one scan of the bodies.
-
-    Only the bodies of wiki listing and site-info replies are carried on.
-    """
-    is_query = F.contains(F.col("fetch_key"), F.lit("action=query"))
-    facts = captured.select(
-        "fetch_key",
-        "status",
-        "content_type",
-        "elapsed_ms",
-        *graph_columns(extractor),
-        *site_file_columns(),
-        endpoint_column(),
-        F.when(is_query, F.col("body")).alias("body"),
-    )
-    return with_content_flag(facts)
-
-
 def extract_urls(urls: DataFrame, graph: DataFrame, order: list[str], slice_by: Column | None = None) -> DataFrame:
     """Page log of an explicit URL list ``(crawl_id, <order>, url)``; nothing is traversed."""
     facts = graph.select("fetch_key", "has_content", "elapsed_ms")
@@ -86,11 +67,9 @@ def crawl_links(starts: DataFrame, graph: DataFrame) -> DataFrame:
     return page_log(traverse(starts, graph), ["depth", "trail"])
 
 
-def page_rows(kept: DataFrame, captured: DataFrame, extractor: Extractor = COLUMNS) -> DataFrame:
-    """Read the kept pages' bodies, and only theirs, and extract them."""
-    bodies = captured.select("fetch_key", "body")
-    read = kept.withColumn("fetch_key", without_fragment(F.col("url"))).join(bodies, "fetch_key")
-    return extractor.read(read).select(
+def page_rows(kept: DataFrame, store: CaptureStore) -> DataFrame:
+    """The kept pages with the content that was read when their captures were stored."""
+    return store.contents(kept.withColumn("fetch_key", without_fragment(F.col("url")))).select(
         "crawl_id", "page_no", F.col("url").alias("source_url"), "title", "description", "content"
     )
 
@@ -115,12 +94,10 @@ def harvest(
     """
     parsed, bad_requests = parse_requests(requests)
     parsed = cut_lineage(parsed)
-    captured = unique_captures(captures(responses), captured_at)
-    if dns is not None:
-        captured = drop_blocked(captured, dns)
-    captured = follow_redirects(captured, dns)
-    # Stored by column: every step after this reads a few narrow ones.
-    facts = store_columns(capture_facts(captured, extractor), "facts")
+    spark = responses.sparkSession
+    store = store_captures(responses, scratch_path(spark, "captures"), extractor, captured_at, dns)
+    # Read several times, a few narrow columns at a time.
+    facts = store_columns(store.facts(), "facts")
     graph = cut_lineage(facts.select("fetch_key", "elapsed_ms", "is_page", "has_content", "links").repartition("fetch_key"))
     files = facts.filter("named is not null or pages is not null").select("fetch_key", "named", "children", "pages")
     advertised = facts.filter("endpoint is not null").select("fetch_key", "endpoint")
@@ -133,7 +110,8 @@ def harvest(
     # Wiki route: titles are cut to max_pages first, then scoped.
     wikis = routed.filter("route = 'wiki'")
     titles = cut_lineage(list_titles(wikis.select("crawl_id", "api_url", "max_pages"), facts, namespace))
-    articles = cut_lineage(wiki_pages(wikis, titles, captured))
+    replies = store.allowed.select("fetch_key", "status", F.col("reply").alias("body"), "elapsed_ms")
+    articles = cut_lineage(wiki_pages(wikis, titles, replies, store.redirects))
     # A malformed article took its time too, but is no page.
     read = ~F.coalesce("malformed", F.lit(False)) & has_text(F.col("content"))
     wiki_log = page_log(articles.withColumn("has_content", read), ["title_no"])
@@ -176,7 +154,7 @@ def harvest(
     clock = ["crawl_id", "page_no", "t_ms", "over_budget"]
     kept = kept_html.select(*clock).unionByName(kept_wiki.select(*clock))
 
-    pages = page_rows(kept_html, captured, extractor).unionByName(
+    pages = page_rows(kept_html, store).unionByName(
         kept_wiki.select("crawl_id", "page_no", "source_url", "title", F.lit("").alias("description"), "content")
     )
     malformed = articles.filter("malformed").select("crawl_id", F.col("source_url").alias("url"), F.lit("malformed markup").alias("reason"))

@@ -24,11 +24,16 @@ def looks_like_sitemap(content_type: Column, body: Column) -> Column:
     return F.coalesce(F.contains(F.lower(content_type), F.lit("xml")), F.lit(False)) | F.coalesce(sniffed, F.lit(False))
 
 
-def site_file_columns() -> list[Column]:
+def is_robots(key: Column) -> Column:
+    return key.endswith("/robots.txt")
+
+
+def site_file_columns(any_key: bool = False) -> list[Column]:
     """What robots files and sitemaps say, from a capture's ``fetch_key, status, content_type, body``.
 
     A sitemap with any ``.xml`` entry is an index and contributes no pages of its own
-    when it is a candidate.
+    when it is a candidate. With ``any_key``, sitemaps are taken from whatever names some, since a robots file
+    may be the answer to a redirect; the reader then looks at the requested key.
     """
     success = is_success(F.col("status"))
     is_sitemap = success & looks_like_sitemap(F.col("content_type"), F.col("body"))
@@ -37,8 +42,9 @@ def site_file_columns() -> list[Column]:
     def is_xml(u: Column) -> Column:
         return F.lower(u).endswith(".xml")
 
+    names = F.col("body").rlike("(?i)sitemap:") if any_key else is_robots(F.col("fetch_key"))
     return [
-        F.when(success & F.col("fetch_key").endswith("/robots.txt"), named_sitemaps(F.col("body"))).alias("named"),
+        F.when(success & names, named_sitemaps(F.col("body"))).alias("named"),
         F.when(is_sitemap, F.filter(locs, is_xml)).alias("children"),
         F.when(is_sitemap, F.filter(locs, lambda u: ~is_xml(u))).alias("pages"),
     ]
