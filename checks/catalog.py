@@ -518,10 +518,20 @@ def ranked_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.positions(fetches, ["crawl_id"], ["elapsed_ms", "visit"], "position")
 
 
+def _harvest(spark: SparkSession, sf_dir: str) -> whole.Harvest:
+    captured = f"{_ALL_CAPTURES} union all select url, status, content_type, body, location, elapsed_ms from ({d.MAP_PAGES}) p"
+    return whole.harvest(d.derive(spark, sf_dir, _ALL_REQUESTS), d.derive(spark, sf_dir, captured), budget_ms=2**53)
+
+
 def harvested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole crawls of every site, sitemap and wiki: the pages."""
-    run = whole.harvest(d.derive(spark, sf_dir, _ALL_REQUESTS), d.derive(spark, sf_dir, _ALL_CAPTURES), budget_ms=2**53)
-    return run.pages.select("crawl_id", "page_no", "source_url", "title", F.md5("content").alias("digest"))
+    """Whole crawls of every site, sitemap and wiki: the pages of all routes in one table."""
+    return _harvest(spark, sf_dir).pages.select("crawl_id", "page_no", "source_url", "title", F.md5("content").alias("digest"))
+
+
+def harvested_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same crawls: pages, totals of their sources, why they ended and what sitemaps were left."""
+    summary = _harvest(spark, sf_dir).summary
+    return summary.select("crawl_id", "completed", "total", "capped", "reason", "unread_sitemaps")
 
 
 QUERIES = {
@@ -533,6 +543,6 @@ QUERIES = {
         bfs_visits, extracted_pages, page_metadata, parsed_pages, url_list_pages, wiki_api, wiki_siteinfo, wiki_detect,
         wiki_reply_gate, wiki_titles, wiki_page_urls, wiki_articles, wiki_pages, crawl_requests, request_rejects, route,
         page_cap, time_budget, crawl_summary, progress_snapshots, page_sink, progress_sink, stream_pages, stream_progress,
-        ranked_fetches, harvested_pages,
+        ranked_fetches, harvested_pages, harvested_summary,
     )
 }
