@@ -85,13 +85,29 @@ def _entries(candidates: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def unread_sitemaps(bases: DataFrame, files: DataFrame, max_sitemaps: int | None = MAX_SITEMAPS) -> DataFrame:
-    """Sub-sitemaps beyond the cap: ``(crawl_id, unread)``, for crawls that have any."""
-    counted = _entries(sitemap_candidates(bases, files), files).groupBy("crawl_id").agg(F.sum(F.size("children")).alias("n"))
+    """Sub-sitemaps left beyond the cap: ``(crawl_id, unread)``, for crawls that have any.
+
+    Candidates are opened in order until one yields pages, so those after the winner leave nothing unread.
+    """
+    entries = _entries(sitemap_candidates(bases, files), files)
     if max_sitemaps is None:
-        return counted.limit(0).select("crawl_id", F.col("n").alias("unread"))
+        return entries.limit(0).select("crawl_id", F.lit(0).cast("bigint").alias("unread"))
+    winner = _winners(_productive(cut_lineage(_documents(sitemap_candidates(bases, files), files, max_sitemaps)), files))
+    opened = entries.join(winner.withColumnRenamed("pos", "won"), "crawl_id", "left").filter("won is null or pos <= won")
+    counted = opened.groupBy("crawl_id").agg(F.sum(F.size("children")).alias("n"))
     return counted.filter(F.col("n") > max_sitemaps).select("crawl_id", (F.col("n") - max_sitemaps).alias("unread"))
 
 
+def _productive(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """Documents that hold pages, with them."""
+    return documents.join(files.filter(F.size("pages") > 0).select("fetch_key", "pages"), "fetch_key")
+
+
+def _winners(productive: DataFrame) -> DataFrame:
+    """The first candidate of each crawl that yields pages: ``(crawl_id, pos)``."""
+    return productive.groupBy("crawl_id").agg(F.min("pos").alias("pos"))
+
+
 def _documents(candidates: DataFrame, files: DataFrame, max_sitemaps: int | None) -> DataFrame:
     """Documents that contribute pages: ``(crawl_id, pos, sub_pos, fetch_key)``."""
     entries = _entries(candidates, files)
@@ -120,9 +136,8 @@ def find_sitemap_urls(bases: DataFrame, files: DataFrame, max_sitemaps: int | No
     ``files`` is a stored ``site_files`` table, which is read several times.
     """
     documents = cut_lineage(_documents(sitemap_candidates(bases, files), files, max_sitemaps))
-    productive = documents.join(files.filter(F.size("pages") > 0).select("fetch_key", "pages"), "fetch_key")
-    winner = productive.groupBy("crawl_id").agg(F.min("pos").alias("pos"))
-    return productive.join(winner, ["crawl_id", "pos"], "left_semi").select(
+    productive = _productive(documents, files)
+    return productive.join(_winners(productive), ["crawl_id", "pos"], "left_semi").select(
         "crawl_id", "pos", "sub_pos", F.posexplode("pages").alias("loc_pos", "url")
     )
 

@@ -81,6 +81,19 @@ def test_sub_sitemaps_past_the_cap_are_counted(spark):
     assert [[r.unread for r in sitemaps.unread_sitemaps(base, files, n).collect()] for n in (4, 6, None)] == [[2], [], []]
 
 
+def test_candidates_after_the_winner_leave_nothing_unread(spark):
+    def index(n, name):
+        return "<sitemapindex>" + "".join(f"<loc>https://n.example/{name}{i}.xml</loc>" for i in range(n)) + "</sitemapindex>"
+
+    rows = [page("https://n.example/robots.txt", "Sitemap: https://n.example/a.xml\nSitemap: https://n.example/b.xml\n")]
+    rows += [page("https://n.example/a.xml", index(3, "x"), content_type="text/xml"), page("https://n.example/b.xml", index(9, "y"), content_type="text/xml")]
+    base = spark.createDataFrame([("c", "https://n.example/")], "crawl_id string, url string")
+    yields = page("https://n.example/x1.xml", "<urlset><loc>https://n.example/p</loc></urlset>", content_type="text/xml")
+    for more, unread in (([yields], []), ([], [8])):
+        files = sitemaps.site_files(captured(spark, rows + more))
+        assert [r.unread for r in sitemaps.unread_sitemaps(base, files, 4).collect()] == unread
+
+
 PAGE = """<html><head><title>T</title></head><body><nav>menu<nav>inner</nav>tail</nav>
 <article><header><h1>Head</h1></header><p>First</p><article>inside</article><p>after</p><header>logo</header></article>
 <article><table><tr><td>Name</td><td>Value</td></tr></table><pre>if a:
