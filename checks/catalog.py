@@ -12,6 +12,7 @@ from sitelode.plans import progress, router
 from sitelode.session import cut_lineage, scratch_path
 from sitelode.sources import captures as capture_store
 from sitelode.sources import requests, sitemaps, tables, wiki
+from sitelode.streaming import batches, counts
 from sitelode.streaming import pages as page_streams
 from sitelode.streaming import progress as progress_streams
 
@@ -470,16 +471,17 @@ def page_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_pages(pages, location)
     tables.write_pages(pages.filter(first), location)
     tables.write_pages(pages.filter(~first), location)
-    read = spark.read.parquet(location)
+    read = tables.read_stored(spark, location)
     return read.select("crawl_id", "page_no", "source_url", "title", "description", F.md5("content").alias("digest"))
 
 
 def progress_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closing rows of all crawls, written twice."""
     location = scratch_path(spark, "progress")
-    rows = cut_lineage(progress_snapshots(spark, sf_dir))
+    rows = cut_lineage(crawl_summary(spark, sf_dir))
     tables.write_progress(rows, location)
     tables.write_progress(rows, location)
-    return spark.read.parquet(location).drop("bucket")
+    return tables.read_stored(spark, location)
 
 
 def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -512,6 +514,32 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(output).withColumn("seq", F.col("seq").cast("bigint"))
 
 
+def stream_crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of all requests from captures that arrive as files, in no order and some of them twice under other spellings."""
+    location, output, state = (scratch_path(spark, n) for n in ("captures", "stream", "state"))
+    captured = d.derive(spark, sf_dir, d.ARRIVING_CAPTURES)
+    timed = captured.withColumn("captured_at", F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("second") * 1_000_000)).drop("second")
+    timed.repartition(4, "body").write.parquet(location)
+    asked, _ = requests.parse_requests(d.derive(spark, sf_dir, d.SITE_REQUESTS))
+    asked = cut_lineage(scope.compile_globs(asked))
+    arriving = spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", 2).parquet(location)
+    page_streams.store_crawl_pages(page_streams.crawl_pages(arriving, asked, "captured_at"), output, state).awaitTermination()
+    found = page_streams.first_pages(batches.read_batches(spark, output))
+    return found.select("crawl_id", "key", "source_url", "title", F.md5("content").alias("digest"))
+
+
+def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closing rows of crawls whose fetches arrive in no order, counted by slices."""
+    location, output, state = (scratch_path(spark, n) for n in ("fetches", "counts", "state"))
+    fetches = d.derive(spark, sf_dir, d.FETCH_LOG).withColumn("arrived", F.lit("2024-01-01").cast("timestamp"))
+    rows = fetches.withColumn("is_end", F.lit(False)).select(*[f.split()[0] for f in counts.ARRIVALS.split(", ")])
+    rows.repartition(6, F.xxhash64("visit")).write.parquet(location)
+    arriving = spark.readStream.schema(counts.ARRIVALS).option("maxFilesPerTrigger", 2).parquet(location)
+    counts.count_stream(arriving, output, state, visits_per_slice=16).awaitTermination()
+    closed = counts.crawl_counts(spark, output, budget_ms=60_000)
+    return closed.select("crawl_id", "completed", "total", "capped", "reason")
+
+
 def ranked_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact positions in groups of any size, by range slices."""
     fetches = d.derive(spark, sf_dir, d.FETCH_LOG).select("crawl_id", "elapsed_ms", "visit")
@@ -542,7 +570,7 @@ QUERIES = {
         robots_sitemaps, sitemap_candidates, sitemap_files, sitemap_urls, sitemap_pages, docs_root, bfs_edges, bfs_crawl,
         bfs_visits, extracted_pages, page_metadata, parsed_pages, url_list_pages, wiki_api, wiki_siteinfo, wiki_detect,
         wiki_reply_gate, wiki_titles, wiki_page_urls, wiki_articles, wiki_pages, crawl_requests, request_rejects, route,
-        page_cap, time_budget, crawl_summary, progress_snapshots, page_sink, progress_sink, stream_pages, stream_progress,
+        page_cap, time_budget, crawl_summary, progress_snapshots, page_sink, progress_sink, stream_pages, stream_progress, stream_crawl_pages, stream_summary,
         ranked_fetches, harvested_pages, harvested_summary,
     )
 }

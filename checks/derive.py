@@ -262,6 +262,14 @@ union all select regexp_replace(url, '#.*$', '') || '#again', status, content_ty
 union all select url, status, content_type, body, location, elapsed_ms from ({SITE_CAPTURES}) e where elapsed_ms % 5 = 0
 """
 
+# Captures with the second they came in; some pages came again later or earlier, under another spelling and with another body.
+ARRIVING_CAPTURES = f"""
+select url, status, content_type, body, elapsed_ms, page_id * 7 % 1000 as second from (select c.*, p.page_id from ({SITE_CAPTURES}) c join ({SITE_PAGES}) p on p.url = c.url) s
+union all
+select replace(url, 'https://', 'HTTPS://') || case when instr(url, '#') > 0 then '' else '#again' end, status, content_type, html, elapsed_ms, (page_id * 7 + page_id % 3 - 1) % 1000
+from ({SITE_PAGES}) p where page_id % 4 = 1 and not is_blank
+"""
+
 # Fetch logs of crawls, for caps and progress: every page is one visit.
 FETCH_LOG = f"""
 select site as crawl_id, idx as visit, status = 200 and not is_blank as has_content, cast(elapsed_ms as bigint) as elapsed_ms,

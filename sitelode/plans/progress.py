@@ -61,19 +61,22 @@ def crawl_summary(kept: DataFrame, limits: DataFrame) -> DataFrame:
     joined = limits.join(done, "crawl_id", "left").withColumns(
         {"completed": F.coalesce("completed", F.lit(0)), "over_budget": F.coalesce("over_budget", F.lit(False))}
     )
+    return close_crawls(joined).select("crawl_id", "completed", "total", "capped", "reason")
+
+
+def close_crawls(counted: DataFrame) -> DataFrame:
+    """Add ``reason, capped`` and the shown ``total`` to ``completed, over_budget, max_pages, source_total``.
+
+    The budget is the reason before the cap, and the cap is one only where the source is known to hold more.
+    """
+    more = F.coalesce(F.col("source_total") > F.col("max_pages"), F.lit(False))
     reason = (
         F.when(F.col("over_budget"), F.lit("time_budget"))
-        .when(
-            (F.col("completed") >= F.col("max_pages")) & F.coalesce(F.col("source_total") > F.col("max_pages"), F.lit(False)),
-            F.lit("max_pages"),
-        )
+        .when((F.col("completed") >= F.col("max_pages")) & more, F.lit("max_pages"))
         .otherwise(F.lit(""))
     )
-    capped = reason != ""
-    total = F.when(capped & F.col("source_total").isNotNull(), F.col("source_total")).otherwise(F.col("completed"))
-    return joined.select(
-        "crawl_id", "completed", total.cast("bigint").alias("total"), capped.alias("capped"), reason.alias("reason")
-    )
+    total = F.when((reason != "") & F.col("source_total").isNotNull(), F.col("source_total")).otherwise(F.col("completed"))
+    return counted.withColumns({"reason": reason, "capped": reason != "", "total": total.cast("bigint")})
 
 
 def _slice_runs(every_pages: int, every_ms: int, slice_rows: int):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,33 +32,66 @@ def stream_responses(spark: SparkSession, location: str, format: str = "parquet"
     )
 
 
+def _committed(spark: SparkSession, location: str) -> dict[int, str | None]:
+    """The folder that holds each bucket now, by the last commit that named it; null for a bucket without rows.
+
+    One row per bucket comes to the driver, and there are as many as the table was given.
+    """
+    try:
+        commits = spark.read.parquet(f"{location}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r.bucket: r.last.version for r in commits.groupBy("bucket").agg(F.max(F.struct("number", "version")).alias("last")).collect()}
+
+
+def read_stored(spark: SparkSession, location: str) -> DataFrame:
+    """What the commits of a stored table name, and nothing of a write that was not committed."""
+    held = {bucket: version for bucket, version in _committed(spark, location).items() if version}
+    paths = [f"{location}/versions/{version}/bucket={bucket}" for bucket, version in held.items()]
+    if not paths:
+        return spark.createDataFrame([], spark.read.parquet(f"{location}/commits").select("columns").first()[0])
+    return spark.read.parquet(*paths)
+
+
 def _replace_crawls(rows: DataFrame, location: str, crawls: DataFrame | None, buckets: int) -> None:
     """Write ``rows`` over what the table holds of ``crawls``, all of theirs if not given; other crawls stay.
 
-    The table has a folder for each bucket of crawls, not for each crawl. Only buckets that get rows or
-    lose some are written anew, so a rerun gives the same table. Rebalancing splits a hot crawl by size.
+    The table has a folder for each bucket of crawls, not for each crawl. Buckets that get rows or
+    lose some are written anew into a version of their own, and one small file then names the version of each; it appears at once.
+    A write that dies before that leaves the table as it was, and a rerun gives the same rows. One job writes a
+    table at a time. Rebalancing splits a hot crawl by size.
     """
     spark = rows.sparkSession
     bucket = F.pmod(F.xxhash64("crawl_id"), F.lit(buckets)).cast("int").alias("bucket")
     placed = rows.withColumn("bucket", bucket)
     replaced = cut_lineage((rows if crawls is None else crawls).select("crawl_id", bucket).distinct())
+    touched = {r.bucket for r in replaced.select("bucket").distinct().collect()}
+    held = _committed(spark, location)
+    old = [f"{location}/versions/{held[b]}/bucket={b}" for b in touched if held.get(b)]
+    if old:
+        stays = spark.read.schema(rows.schema).parquet(*old).join(replaced.select("crawl_id"), "crawl_id", "left_anti")
+        placed = placed.unionByName(stays.withColumn("bucket", bucket))
+    version = uuid.uuid4().hex
+    place = f"{location}/versions/{version}"
+    placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "crawl_id").write.partitionBy("bucket").parquet(place)
+    written = {r.bucket for r in spark.read.schema(placed.schema).parquet(place).select("bucket").distinct().collect()}
+    folders = {b: version if b in written else None for b in touched}
+    if folders or not held:
+        _commit(spark, location, folders or {-1: None}, rows.schema.simpleString())
+
+
+def _commit(spark: SparkSession, location: str, folders: dict[int, str | None], columns: str) -> None:
+    """Make the versions of some buckets count, by one file."""
     try:
-        stored = spark.read.schema(placed.schema).parquet(location)
+        number = spark.read.parquet(f"{location}/commits").agg(F.max("number")).first()[0] + 1
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    else:
-        touched = stored.join(replaced.select("bucket").distinct(), "bucket", "left_semi")
-        # Read before its folders are replaced.
-        placed = placed.unionByName(cut_lineage(touched.join(replaced, "crawl_id", "left_anti")))
-    (
-        placed.hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "crawl_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(location)
-    )
+        number = 0
+    rows = [(number, b, v, columns) for b, v in folders.items()]
+    spark.createDataFrame(rows, "number bigint, bucket int, version string, columns string").coalesce(1).write.mode("append").parquet(f"{location}/commits")
 
 
 def write_pages(pages: DataFrame, location: str, crawls: DataFrame | None = None, buckets: int = 256) -> None:

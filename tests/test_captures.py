@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from sitelode import schemas
 from sitelode.operators import content, fetch, guard, markup
@@ -138,5 +139,33 @@ def test_sinks_replace_crawls_and_no_others(spark, tmp_path):
     tables.write_pages(pages("b", text="new"), place, buckets=2)
     gone = spark.createDataFrame([("c",)], "crawl_id string")
     tables.write_pages(pages("b").limit(0), place, crawls=gone, buckets=2)
-    read = spark.read.parquet(place).groupBy("crawl_id", "content").count().collect()
+    read = tables.read_stored(spark, place).groupBy("crawl_id", "content").count().collect()
     assert {tuple(r) for r in read} == {("a", "x", 3), ("b", "new", 3)}
+
+
+def test_a_write_that_dies_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    schema = "crawl_id string, page_no bigint, source_url string, title string, description string, content string"
+    place = str(tmp_path / "pages")
+    rows = spark.createDataFrame([(c, 0, "u", "t", "", "old") for c in "abcdef"], schema)
+    tables.write_pages(rows, place, buckets=3)
+    before = sorted(map(tuple, tables.read_stored(spark, place).collect()))
+    newer = rows.filter("crawl_id < 'd'").withColumn("content", F.lit("new"))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "_commit", dies)
+        with pytest.raises(RuntimeError):
+            tables.write_pages(newer, place, buckets=3)
+    assert sorted(map(tuple, tables.read_stored(spark, place).collect())) == before
+    failing = newer.withColumn("content", F.raise_error(F.lit("broken row")).cast("string"))
+    with pytest.raises(Exception, match="broken row"):
+        tables.write_pages(failing, place, buckets=3)
+    assert sorted(map(tuple, tables.read_stored(spark, place).collect())) == before
+    for _ in range(2):
+        tables.write_pages(newer, place, buckets=3)
+        got = {r.crawl_id: r.content for r in tables.read_stored(spark, place).collect()}
+        assert got == {c: "new" if c < "d" else "old" for c in "abcdef"}
+    tables.write_pages(rows.limit(0), str(tmp_path / "empty"))
+    assert tables.read_stored(spark, str(tmp_path / "empty")).count() == 0

@@ -58,7 +58,7 @@ def run(spark, requests, **options):
 def test_harvest_over_all_routes(spark, tmp_path):
     result = run(spark, REQUESTS, dns=spark.createDataFrame(DNS, schemas.DNS))
     tables.write_pages(result.pages, str(tmp_path / "pages"))
-    read = spark.read.schema(schemas.PAGES).parquet(str(tmp_path / "pages"))
+    read = tables.read_stored(spark, str(tmp_path / "pages"))
     got = [(r.crawl_id, r.page_no, r.source_url, r.title, r.content) for r in read.orderBy("crawl_id", "page_no").collect()]
     h, s, w = "https://h.example/docs/", "https://s.example/p", "https://w.example/wiki/"
     assert got == [
