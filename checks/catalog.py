@@ -13,6 +13,7 @@ from sitelode.session import cut_lineage, scratch_path
 from sitelode.sources import captures as capture_store
 from sitelode.sources import requests, sitemaps, tables, wiki
 from sitelode.streaming import batches, counts
+from sitelode.streaming import captures as arriving_captures
 from sitelode.streaming import pages as page_streams
 from sitelode.streaming import progress as progress_streams
 
@@ -528,6 +529,16 @@ def stream_crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("crawl_id", "key", "source_url", "title", F.md5("content").alias("digest"))
 
 
+def stream_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capture of every key that counts, of captures and re-captures that arrive as files."""
+    location, output, state = (scratch_path(spark, n) for n in ("captures", "settled", "state"))
+    captured = d.derive(spark, sf_dir, d.REPEATED_CAPTURES).withColumn("elapsed_ms", F.col("elapsed_ms").cast("bigint"))
+    captured.repartition(6, F.xxhash64("body")).write.parquet(location)
+    arriving_captures.store_arriving(tables.stream_responses(spark, location, files_per_batch=2), output, state).awaitTermination()
+    settled = arriving_captures.settled_captures(spark, output)
+    return settled.select("fetch_key", "url", "elapsed_ms", F.md5("body").alias("digest"))
+
+
 def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closing rows of crawls whose fetches arrive in no order, counted by slices."""
     location, output, state = (scratch_path(spark, n) for n in ("fetches", "counts", "state"))
@@ -570,7 +581,8 @@ QUERIES = {
         robots_sitemaps, sitemap_candidates, sitemap_files, sitemap_urls, sitemap_pages, docs_root, bfs_edges, bfs_crawl,
         bfs_visits, extracted_pages, page_metadata, parsed_pages, url_list_pages, wiki_api, wiki_siteinfo, wiki_detect,
         wiki_reply_gate, wiki_titles, wiki_page_urls, wiki_articles, wiki_pages, crawl_requests, request_rejects, route,
-        page_cap, time_budget, crawl_summary, progress_snapshots, page_sink, progress_sink, stream_pages, stream_progress, stream_crawl_pages, stream_summary,
+        page_cap, time_budget, crawl_summary, progress_snapshots, page_sink, progress_sink, stream_pages, stream_progress, stream_crawl_pages, stream_captures,
+        stream_summary,
         ranked_fetches, harvested_pages, harvested_summary,
     )
 }
