@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.links import extract_links
 from ..functions.urls import canonical_url, netloc, without_fragment
-from ..session import store_columns
+from ..session import cut_lineage, store_columns
 from .content import COLUMNS, Extractor
 from .fetch import is_html
 from .scope import in_scope
@@ -86,8 +86,9 @@ def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
     ``starts`` holds ``crawl_id, url, path_prefix, include_regex, exclude_regex,
     max_pages, max_depth``, one row per crawl. The graph is joined once per level;
     a crawl that has enough pages stops after the level that completed it, which
-    may log visits past its cap but never too few. Levels are stored by column: what tells
-    visited keys and counts pages does not read the links again.
+    may log visits past its cap but never too few. Levels are stored by column: what tells visited keys does not read the
+    links again. The pages of a level are counted once; the counts of crawls are carried from level to level, one small row
+    each.
     """
     level = starts.select(
         "crawl_id",
@@ -106,23 +107,25 @@ def traverse(starts: DataFrame, graph: DataFrame) -> DataFrame:
     pages = graph.select("fetch_key", "elapsed_ms", "is_page", "has_content", "links")
     levels: list[DataFrame] = []
     expand = _link_step()
+    counts = starts.select("crawl_id", F.lit(0).cast("bigint").alias("pages"), "max_pages")
     for depth in range(deepest + 1):
         hits = store_columns(
             level.withColumn("fetch_key", without_fragment(F.col("url"))).join(pages, "fetch_key", "left").drop("fetch_key"),
             "level",
         )
         levels.append(hits.drop("links"))
-        if depth == deepest or hits.isEmpty():
+        if depth == deepest:
             break
-        visited = reduce(DataFrame.unionByName, levels)
-        finished = (
-            visited.groupBy("crawl_id")
-            .agg(F.count_if("has_content").alias("pages"), F.max("scope.max_pages").alias("max_pages"))
-            .filter("pages >= max_pages")
-        )
-        level = expand(hits.join(finished, "crawl_id", "left_anti")).join(
-            visited.select("crawl_id", "key"), ["crawl_id", "key"], "left_anti"
+        here = hits.groupBy("crawl_id").agg(F.count_if("has_content").alias("here"))
+        counts = cut_lineage(
+            counts.join(here, "crawl_id", "inner").select("crawl_id", (F.col("pages") + F.col("here")).alias("pages"), "max_pages")
         )
+        # A crawl that found nothing new has no count any more; neither has one that is full.
+        going = counts.filter("pages < max_pages").select("crawl_id")
+        if going.isEmpty():
+            break
+        seen = reduce(DataFrame.unionByName, [found.select("crawl_id", "key") for found in levels])
+        level = expand(hits.join(going, "crawl_id", "left_semi")).join(seen, ["crawl_id", "key"], "left_anti")
     log = reduce(DataFrame.unionByName, levels)
     return log.select(
         "crawl_id",

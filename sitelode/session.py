@@ -80,28 +80,29 @@ def store_columns(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(place)
 
 
-def store_clustered(df: DataFrame, key: str, location: str, buckets: int | None = None) -> DataFrame:
-    """Write ``df`` in buckets of ``key``, ordered inside them, and read it back; joins on ``key`` then leave it where it lies.
+def store_clustered(df: DataFrame, keys: str | list[str], location: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` in buckets of ``keys``, ordered inside them, and read it back; joins on just these then leave it where it lies.
 
-    Where ``df`` is already placed by ``key`` nothing is shuffled. There is one bucket per shuffle partition unless told
+    Where ``df`` is already placed by the keys nothing is shuffled. There is one bucket per shuffle partition unless told
     otherwise, and one file per bucket and task that holds some of it.
     """
     spark = df.sparkSession
+    keys = [keys] if isinstance(keys, str) else keys
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"clustered_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", f"{location}/rows").saveAsTable(name)
+    df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{location}/rows").saveAsTable(name)
     # Written last: a table without its layout was not finished.
-    spark.createDataFrame([(key, buckets)], "key string, buckets int").write.parquet(f"{location}/layout")
+    spark.createDataFrame([(",".join(keys), buckets)], "keys string, buckets int").write.parquet(f"{location}/layout")
     return spark.table(name)
 
 
 def read_clustered(spark: SparkSession, location: str) -> DataFrame:
     """A table that :func:`store_clustered` wrote, also in another session."""
-    key, buckets = spark.read.parquet(f"{location}/layout").first()
+    keys, buckets = spark.read.parquet(f"{location}/layout").first()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{location}/rows").schema)
     name = f"clustered_{uuid.uuid4().hex}"
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}/rows'"
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{location}/rows'"
     )
     return spark.table(name)
 
