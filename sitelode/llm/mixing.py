@@ -21,6 +21,7 @@ from ..operators.ranking import running_totals
 from ..session import cut_lineage
 from .words import find_words, mix, steps
 
+_SLOTS_PER_TASK = 1 << 18
 #: A word, as Spark's and SQL's patterns write it.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -92,6 +93,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def _row_key(id_column: str, text_column: str, source_column: str) -> Column:
+    """What tells rows apart. Rows of two sources are two, even with one id and text."""
+    return F.xxhash64(F.col(id_column), F.col(text_column), F.lit("source"), F.col(source_column).cast("string"))
+
+
 @dataclass(frozen=True)
 class Mix:
     #: ``_source, _key, _id, size, begin``: every text and its place in its source's words. Texts without a word share places.
@@ -114,14 +120,15 @@ def mix_sources(
     """
     settings = settings or Settings()
     spark = rows.sparkSession
-    key = F.xxhash64(F.col(id_column), F.col(text_column))
+    key = _row_key(id_column, text_column, source_column)
     source = F.col(source_column).cast("string")
     narrow = rows.select(
         # Null keys would not join: a null source gets a name that no other has.
         F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), source)).alias("_source"),
         key.alias("_key"), F.col(id_column).alias("_id"), word_count(F.col(text_column)).alias("size"),
     )
-    placed = running_totals(narrow, ["_source"], ["_id", "_key"], {"_end": F.col("size")})
+    # Words are counted once: dealing rows out by range reads them twice.
+    placed = running_totals(cut_lineage(narrow), ["_source"], ["_id", "_key"], {"_end": F.col("size")})
     texts = cut_lineage(placed.select("_source", "_key", "_id", "size", (F.col("_end") - F.col("size")).alias("begin")))
 
     sizes = {r[0]: int(r[1]) for r in texts.groupBy("_source").agg(F.sum("size")).collect()}
@@ -146,7 +153,9 @@ def mix_sources(
         "_source", "blocks", "shard", F.explode(F.sequence(F.col("run"), F.col("run") + F.col("n") - 1, F.lit(step).cast("bigint"))).alias("a"),
         (F.col("run") + F.col("n")).alias("z"),
     )
-    slots = cut.repartition("_source", "a").select(
+    # The few rows here become many: as many tasks as the slots need, whatever the bytes that come in.
+    tasks = 1 + int(drawn.sum()) // _SLOTS_PER_TASK
+    slots = cut.repartition(tasks, "_source", "a").select(
         "_source", "blocks", "shard", F.explode(F.sequence("a", F.least(F.col("a") + step, "z") - 1)).alias("slot")
     )
     slots = slots.select(
@@ -235,7 +244,7 @@ def mixed_documents(
         ).otherwise(F.concat(done, F.array(s))),
     )
     spans = joined.select(F.col("_key"), merged.alias("_spans"))
-    key = F.xxhash64(F.col(id_column), F.col(text_column))
+    key = _row_key(id_column, text_column, source_column)
     # Equal rows have equal texts, and the spans of all of them: one of them is enough.
     first = Window.partitionBy("_key").orderBy("_key")
     texts = rows.select(key.alias("_key"), F.struct("*").alias("_row")).join(spans, "_key")

@@ -160,6 +160,20 @@ def test_mixed_documents_hold_what_was_taken(spark, sf_dir):
     assert mixing.taken_words(mixing.mix_sources(table.where("doc_id = 1"))).first().taken == 0
 
 
+def test_equal_rows_of_two_sources_give_what_each_source_owes(spark, documents):
+    text = " ".join(f"w{i}" for i in range(2000))
+    rows = [(1, text, "en", "x"), (1, text, "en", "y"), (1, text, "en", None), (2, text, "en", "x"), (2, text, "en", "x")]
+    table = documents(rows)
+    settings = mixing.Settings(block=50)
+    owed = {r.source_size: r.target for r in mixing.mix_sources(table, settings=settings).sources.collect()}
+    mixed = mixing.mixed_documents(table, settings=settings).collect()
+    got = Counter()
+    for r in mixed:
+        got[r.source] += len(r.text.split())
+    want = mixing.targets([("x", 6000), ("y", 2000), (None, 2000)], settings)
+    assert owed and all(abs(got[s] - want[s]) <= 50 for s in want), (got, want)
+
+
 def test_shards_are_exact_and_whole(spark, sf_dir):
     place, rows = sf_dir
     got = queries.op4_sharding(spark, place).collect()
