@@ -204,7 +204,8 @@ def manifest(rows: DataFrame, key: str, group: str, fields: list[str], carry: di
         named.alias("group"), F.col(key).alias("key"), digest(record(*[F.col(f) for f in fields])).alias("node"),
         F.struct(F.col(group).alias("group"), *[c.alias(n) for n, c in carry.items()]).alias("carried"),
     )
-    by_group = tree(leaves, ["key"], shape)
+    # Texts are hashed once: dealing leaves out by range reads them twice.
+    by_group = tree(cut_lineage(leaves), ["key"], shape)
     subroots = by_group.where("block = 0").select(
         F.lit(0).alias("group"), F.col("group").alias("name"), F.col("root").alias("node"), F.col("blocks").alias("of_blocks")
     )
