@@ -101,20 +101,22 @@ class Model:
         return (total / np.maximum(n, 1)[:, None] + self.bias) / self.temperature
 
 
-def fit(rows: DataFrame, text_column: str, language_column: str, key: Column, settings: Settings | None = None) -> Model:
+def fit(rows: DataFrame, text_column: str, language_column: str, settings: Settings | None = None) -> Model:
     """Train on a bounded sample of rows whose text and language are not null.
 
-    With no such row the model knows no language and every prediction is ``und``.
+    The sample is of distinct texts: about ``texts_per_language`` of each language, fewer where there are so many languages
+    that all together would pass ``sampling.MAX_ROWS``; more than ``sampling.MAX_LABELS`` of them raise an error.
+    Ids play no part, so repeated or null ones change nothing. With no such row the model knows no language and every prediction is ``und``.
     """
     settings = settings or Settings()
     bits = settings.buckets.bit_length() - 1
     named = rows.where(F.col(text_column).isNotNull() & F.col(language_column).isNotNull())
-    named = named.select(key.alias("_key"), F.col(language_column).alias("_lang"), F.col(text_column).alias("_text"))
-    sample = balanced_sample(named, F.col("_key"), "_lang", settings.texts_per_language, "language")
-    bags = sample.select("_key", "_lang", _bags(bits)("_text").alias("bag")).select("_key", "_lang", "bag.*").toArrow()
+    named = named.select(F.col(language_column).alias("_lang"), F.col(text_column).alias("_text"))
+    sample = balanced_sample(named, F.col("_text"), "_lang", settings.texts_per_language, "language")
+    bags = sample.select("_draw", "_lang", _bags(bits)("_text").alias("bag")).select("_draw", "_lang", "bag.*").toArrow()
     if not bags.num_rows:
         return Model((), np.zeros((settings.buckets, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    bags = bags.sort_by([("_key", "ascending")])
+    bags = bags.sort_by([("_draw", "ascending"), ("_lang", "ascending")])
     names = np.array(bags["_lang"].to_pylist(), object)
     languages = tuple(sorted(set(names)))
     truth = np.searchsorted(np.array(languages, object), names)

@@ -56,7 +56,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
     documents = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
-    model = language.fit(documents.where(~held_out), "text", "lang", F.col("doc_id"))
+    model = language.fit(documents.where(~held_out), "text", "lang")
     predicted = language.predict(F.col("text"), model)
     return documents.select("doc_id", held_out.alias("held_out"), predicted.alias("p")).select("doc_id", "held_out", "p.*")
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .sampling import balanced_sample
 from .words import NOT_LETTERS, Texts, find_words, hash_spans, mix, steps
 
@@ -250,7 +251,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings | None = Non
     """Fit on ``documents`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``), null labels left out.
 
     The sample of labels is bounded by ``texts_per_label``, so its ids may be broadcast. A
-    document with several labels takes the highest. Without a positive or a negative text
+    document with several labels takes the highest, and an id with several texts stands for one of them, the same in every run. Without a positive or a negative text
     only the fixed list and patterns vote, and the score is the share of the positive label.
     """
     settings = settings or Settings()
@@ -260,7 +261,10 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings | None = Non
     sizes = dict(known.groupBy("toxic").count().collect())
     rate = (sizes.get(1, 0) + 0.5) / (sum(sizes.values()) + 1)
     chosen = balanced_sample(known, F.col("doc_id"), "toxic", settings.texts_per_label, "toxicity")
-    sample = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    chosen = chosen.select("doc_id", "toxic")
+    labelled = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # Read three times, and bounded: documents are scanned for it once.
+    sample = cut_lineage(labelled.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
     drawn = dict(sample.groupBy("toxic").count().collect())
     positive, negative = drawn.get(1, 0), drawn.get(0, 0)
     picked = _chosen(sample, settings, (positive, negative)) if positive and negative else []

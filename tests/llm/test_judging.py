@@ -7,9 +7,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from sitelode.llm import ann, language, lm, queries, toxicity
-from sitelode.llm.sampling import balanced_sample
+from sitelode.llm.sampling import TooManyLabels, balanced_sample
 
 ODD = [(None, None), (900, None), (901, ""), (902, " \n "), (903, "1234 !!"), (903, "1234 !!"), (904, "é"), (905, "a\n\na\nb a")]
 
@@ -89,7 +90,7 @@ def test_languages_of_held_out_texts(spark, documents, table_dir):
 
 def test_no_language_is_known_without_labels(spark, documents):
     table = documents([(1, "some text"), *ODD])
-    model = language.fit(table, "text", "lang", F.col("doc_id"))
+    model = language.fit(table, "text", "lang")
     assert {r[0] for r in table.select(language.predict(F.col("text"), model)["lang_pred"]).collect()} == {"und"}
     assert table.limit(0).select(language.predict(F.col("text"), model)).count() == 0
 
@@ -242,3 +243,34 @@ def test_few_neighbours_and_small_blocks(spark):
 def test_sample_holds_every_label(spark):
     rows = spark.createDataFrame([(i, f"l{i % 300}") for i in range(600)] + [(1000, "once")], "id bigint, label string")
     assert balanced_sample(rows, F.col("id"), "label", 5, "x").select("label").distinct().count() == 301
+
+
+def test_one_id_or_one_text_neither_empties_nor_swells_a_sample(spark):
+    # One id on all rows; another text on every row, or the same on half of them.
+    rows = spark.range(4000).select(
+        F.lit(7).alias("id"), F.when(F.col("id") < 2000, F.concat(F.lit("t"), "id")).otherwise("same").alias("text"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("label"),
+    )
+    for seed in ("language", "toxicity", "x"):
+        drawn = balanced_sample(rows, F.col("text"), "label", 200, seed).groupBy("label").count().collect()
+        assert {r.label for r in drawn} == {"a", "b"} and all(120 < r["count"] < 280 for r in drawn), drawn
+        hot = balanced_sample(rows, F.col("id"), "label", 200, seed).groupBy("label").count().collect()
+        assert {tuple(r) for r in hot} == {("a", 1), ("b", 1)}
+    nulls = rows.withColumn("label", F.lit(None).cast("string"))
+    assert balanced_sample(nulls, F.col("text"), "label", 200, "x").count() == 0
+    several = balanced_sample(rows, F.col("text"), "label", 10**6, "x", max_rows=400).count()
+    assert 280 < several < 520
+    with pytest.raises(TooManyLabels):
+        balanced_sample(rows, F.col("text"), "text", 5, "x", max_labels=100)
+
+
+def test_models_are_learned_from_rows_of_one_id(spark, documents, prose):
+    table = documents([(None if i % 2 else 3, t, lang) for i, t, lang in tongues(400, 1)])
+    model = language.fit(table, "text", "lang")
+    assert model.languages == ("aa", "bb", "cc")
+    texts = list(insulting(300, 4, prose))
+    # One labelled id stands on a thousand rows: one text counts for it, the same in every run.
+    many = documents([(i, t) for i, t, _ in texts] + [(2, f"you are a fool {i}") for i in range(1000)])
+    labels = spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id bigint, toxic int")
+    first, again = (toxicity.fit(many, labels) for _ in range(2))
+    assert first.bias == again.bias and (first.weights == again.weights).all()
