@@ -26,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    return simhash.keep_one(docs)
+    """One document of each SimHash component: fingerprints of three-word shingles that differ in two bits at most."""
+    return simhash.keep_one(docs, words=3, radius=2)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,6 @@ most, whatever a bucket's size. Links are returned as stars, never as all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .graph import components
-from .words import mix
 
 BITS = 64
 _CHUNK = 1 << 16
@@ -235,268 +233,24 @@ def component_table(marked: DataFrame, id_column: str, radius: int = 2, shard_si
     return placed.join(least, "_root").select("fingerprint", "component_id")
 
 
-@dataclass(frozen=True)
-class Similar:
-    """Near copies on ``words``-word shingles whose Jaccard similarity is ``similarity`` or more.
-
-    At 0.8 fingerprints of 64 bits differ in 10 bits on average, too many for blocks of bits, and far more where one
-    text repeats a line. So texts meet in a shard if they agree in all samples of one of ``bands`` groups of ``rows``
-    sampled shingles; a similar pair misses all with a chance of (1 - 0.8^3)^12, below 0.0002. Pairs that meet and that
-    do not fall short by more than ``slack`` deviations on ``samples`` samples are candidates; their sets of shingles decide.
-    """
-
-    words: int = 5
-    similarity: float = 0.8
-    bands: int = 12
-    rows: int = 3
-    samples: int = 128
-    shard_size: int = 2048
-    #: Standard deviations of the samples by which a candidate may fall short.
-    slack: float = 4.0
-    #: Shingles of the texts of a shard, about, where sets are compared.
-    shard_shingles: int = 1 << 20
-
-    @property
-    def need(self) -> float:
-        """Samples in which candidates agree at least."""
-        mean = self.similarity * self.samples
-        return mean - self.slack * (mean * (1 - self.similarity)) ** 0.5
-
-
-def _marks(settings: Similar):
-    """Band keys, one byte of each sample, a hash of all shingles in order, and their number."""
-    rng = np.random.default_rng(3)
-    factor = rng.integers(1, 1 << 63, settings.samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def of(texts: pa.Array) -> pa.Array:
-        bands, sketches, whole, sizes = [], [], [], []
-        for text in texts:
-            n, digest = 0, xxhash.xxh64(seed=7)
-            least = np.full(settings.samples, np.iinfo(np.uint64).max, np.uint64)
-            for hashes in shingle_hashes(text.as_py(), settings.words):
-                n += len(hashes)
-                digest.update(hashes.astype(">u8").tobytes())
-                for at in range(0, len(hashes), 2048):
-                    part = mix(hashes[at : at + 2048])
-                    least = np.minimum(least, (part[:, None] * factor[None, :]).min(axis=0))
-            whole.append(digest.intdigest())
-            sizes.append(n)
-            used = least[: settings.bands * settings.rows].reshape(settings.bands, settings.rows)
-            key = np.zeros(settings.bands, np.uint64)
-            for i in range(settings.rows):
-                key = mix(key * np.uint64(31) + used[:, i])
-            bands.append(key.view(np.int64))
-            sketches.append(mix(least).astype(np.uint8).tobytes())
-        columns = [
-            pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
-            pa.array(np.array(whole, np.uint64).view(np.int64)),
-            pa.array(sizes, pa.int64()),
-        ]
-        return pa.StructArray.from_arrays(columns, ["bands", "sketch", "whole", "size"])
-
-    return F.arrow_udf(of, "struct<bands:array<bigint>,sketch:binary,whole:bigint,size:bigint>")
-
-
-def _similar_stars(nodes: np.ndarray, sketches: np.ndarray, cut: int | None, settings: Similar) -> list[tuple[int, int]]:
-    """Links between candidates of one shard (``cut`` is None), or of two: those after ``cut`` meet the others."""
-    parent = list(range(len(nodes)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i in range(1 if cut is None else cut, len(nodes)):
-        same = (sketches[: i if cut is None else cut] == sketches[i]).sum(axis=1)
-        for j in np.flatnonzero(same >= settings.need).tolist():
-            parent[root(i)] = root(j)
-    return [(int(nodes[i]), int(nodes[root(i)])) for i in range(len(nodes)) if root(i) != i]
-
-
-def _similar_units(batches: Iterator[pa.RecordBatch], settings: Similar) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by unit (band, bucket, shard, shard) and side, to links of texts."""
-
-    def links(unit: np.ndarray, rows: pa.Table) -> list[tuple[int, int]]:
-        bounds = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
-        side = rows["side"].to_numpy()
-        nodes, sketches = rows["whole"].to_numpy(), rows["sketch"].combine_chunks()
-        out: list[tuple[int, int]] = []
-        for a, b in zip(bounds, bounds[1:]):
-            if b - a > 1:
-                own = np.frombuffer(b"".join(s.as_py() for s in sketches[a:b]), np.uint8).reshape(b - a, -1)
-                cut = None if unit[a, 2] == unit[a, 3] else int((side[a:b] == 0).sum())
-                out.extend(_similar_stars(nodes[a:b], own, cut, settings))
-        return out
-
-    def batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
-        pairs = np.array(out, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    kept: pa.Table | None = None
-    for rows in batches:
-        if not rows.num_rows:
-            continue
-        now = pa.Table.from_batches([rows])
-        now = now if kept is None else pa.concat_tables([kept, now])
-        unit = np.stack([now.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
-        cut = int(np.flatnonzero((unit != unit[-1]).any(axis=1))[-1]) + 1 if (unit != unit[-1]).any() else 0
-        if cut:
-            yield batch(links(unit[:cut], now.slice(0, cut)))
-        kept = now.slice(cut)
-    if kept is not None:
-        unit = np.stack([kept.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
-        yield batch(links(unit, kept))
-
-
-def similar_links(texts: DataFrame, settings: Similar | None = None) -> DataFrame:
-    """Links ``a, b`` that join candidates among distinct texts (``whole, bands, sketch``).
-
-    Candidates are joined by stars: linked texts need not be candidates of each other.
-    """
-    settings = settings or Similar()
-    keyed = texts.select("whole", "sketch", F.posexplode("bands").alias("part", "bucket"))
-    shared = keyed.groupBy("part", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shards = F.ceil(F.col("n") / settings.shard_size).cast("int")
-    met = keyed.join(shared, ["part", "bucket"]).select(
-        "part", "bucket", "whole", "sketch", shards.alias("shards"),
-        F.pmod(F.xxhash64("whole"), shards).cast("int").alias("shard"),
-    )
-    met = met.select("*", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("other"))
-    units = met.select(
-        "part", "bucket",
-        F.least("shard", "other").alias("tree"), F.greatest("shard", "other").alias("query"),
-        F.when(F.col("shard") <= F.col("other"), 0).otherwise(1).alias("side"), "whole", "sketch",
-    )
-    unit = ["part", "bucket", "tree", "query"]
-    placed = units.repartition(*unit).sortWithinPartitions(*unit, "side", "whole")
-    return placed.mapInArrow(lambda batches: _similar_units(batches, settings), "a bigint, b bigint")
-
-
-def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """The text, which comes last, as its distinct shingle hashes in order."""
-    for batch in batches:
-        at = 0
-        while at < batch.num_rows:
-            sets, size, begin = [], 0, at
-            while at < batch.num_rows and size < 1 << 22:
-                parts = list(shingle_hashes(batch.column(batch.num_columns - 1)[at].as_py(), words))
-                sets.append(np.unique(np.concatenate(parts)).tobytes() if parts else b"")
-                size += len(sets[-1])
-                at += 1
-            columns = [c.slice(begin, at - begin) for c in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], [*batch.schema.names[:-1], "shingles"])
-
-
-def _exact_stars(
-    nodes: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], cut: int | None, settings: Similar
-) -> list[tuple[int, int]]:
-    """Links between texts of one shard (``cut`` is None), or of two, whose sets are similar."""
-    parent = list(range(len(sets)))
-    bounds = np.cumsum([0, *map(len, sets)])
-    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    ids = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
-    marks = np.zeros(len(names), bool)
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i in range(1 if cut is None else cut, len(sets)):
-        others = sketches[: i if cut is None else cut]
-        near = np.flatnonzero((others == sketches[i]).sum(axis=1) >= settings.need)
-        marks[ids[i]] = True
-        for j in near.tolist():
-            if root(j) != root(i):
-                common = int(np.count_nonzero(marks[ids[j]]))
-                if common >= settings.similarity * (len(ids[i]) + len(ids[j]) - common):
-                    parent[root(i)] = root(j)
-        marks[ids[i]] = False
-    return [(int(nodes[i]), int(nodes[root(i)])) for i in range(len(sets)) if root(i) != i]
-
-
-def _exact_units(batches: Iterator[pa.RecordBatch], settings: Similar) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by unit (group, shard, shard) and side, to links of texts with similar sets."""
-
-    def links(rows: list[tuple]) -> pa.RecordBatch:
-        out: list[tuple[int, int]] = []
-        if len(rows) > 1:
-            unit, side = rows[0][0], [r[1] for r in rows]
-            sketches = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
-            sets = [np.frombuffer(r[4], np.uint64) for r in rows]
-            cut = None if unit[1] == unit[2] else side.count(0)
-            out = _exact_stars(np.array([r[2] for r in rows]), sketches, sets, cut, settings)
-        pairs = np.array(out, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    kept: list[tuple] = []
-    for batch in batches:
-        for i in range(batch.num_rows):
-            group, tree, query, *row = (c[i].as_py() for c in batch.columns)
-            if kept and kept[0][0] != (group, tree, query):
-                yield links(kept)
-                kept = []
-            kept.append(((group, tree, query), *row))
-    if kept:
-        yield links(kept)
-
-
-def exact_links(texts: DataFrame, members: DataFrame, settings: Similar) -> DataFrame:
-    """Links ``a, b`` that join the texts of each group of candidates whose sets of shingles are similar.
-
-    ``texts`` has ``_key, _text``; ``members`` has ``_key, whole, sketch, size, root`` of each text that has candidates.
-    All texts of a group meet, a shard with a shard, and what may be similar by its sketch is decided by its set.
-    """
-    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-    shards = F.ceil(F.greatest(F.col("n") / settings.shard_size, F.col("size") / settings.shard_shingles)).cast("int")
-    placed = members.drop("size").join(sizes.select("root", shards.alias("shards")), "root")
-    found = texts.join(placed, "_key").groupBy("whole").agg(*[F.first(c).alias(c) for c in ("root", "shards", "sketch", "_text")])
-    sets = found.select(
-        "whole", "root", "shards", F.pmod(F.xxhash64("whole"), "shards").cast("int").alias("shard"), "sketch", "_text"
-    ).mapInArrow(
-        lambda batches: _sets(batches, settings.words),
-        "whole bigint, root bigint, shards int, shard int, sketch binary, shingles binary",
-    )
-    met = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("other"))
-    units = met.select(
-        "root", F.least("shard", "other").alias("tree"), F.greatest("shard", "other").alias("query"),
-        F.when(F.col("shard") <= F.col("other"), 0).otherwise(1).alias("side"), "whole", "sketch", "shingles",
-    )
-    unit = ["root", "tree", "query"]
-    dealt = units.repartition(*unit).sortWithinPartitions(*unit, "side", "whole")
-    return dealt.mapInArrow(lambda batches: _exact_units(batches, settings), "a bigint, b bigint")
-
-
 def keep_one(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", settings: Similar | None = None
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = 3,
+    radius: int = 2,
+    shard_size: int = 4096,
 ) -> DataFrame:
-    """``documents`` with one row of each group of near copies: the one with the smallest id, null ids last.
+    """``documents`` with one row of each component of ``near_groups``: the one with the smallest id, null ids last.
 
     Rows that are equal in id and text are one row, and all texts without a word, null or not, are
-    copies of each other. Columns stay as they are, extra ones too.
+    copies of each other. Columns stay as they are, extra ones too. An empty table gives an empty one.
     """
-    settings = settings or Similar()
     key = F.xxhash64(F.col(id_column), F.col(text_column))
-    marked = cut_lineage(
-        documents.select(
-            F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), key.alias("key")).alias("_who"),
-            _marks(settings)(F.col(text_column)).alias("m"),
-        ).select("_who", "m.*")
-    )
-    distinct = cut_lineage(
-        marked.groupBy("whole").agg(
-            F.min("_who").alias("_least"), *[F.first(c).alias(c) for c in ("bands", "sketch", "size")]
-        )
-    )
-    candidates = components(similar_links(distinct, settings)).select(F.col("vertex").alias("whole"), "root")
-    members = distinct.select("whole", F.col("_least.key").alias("_key"), "sketch", "size").join(candidates, "whole")
-    texts = documents.select(key.alias("_key"), F.col(text_column).alias("_text"))
-    roots = components(exact_links(texts, members, settings))
-    placed = distinct.select("whole", "_least").join(roots, distinct["whole"] == roots["vertex"], "left")
-    kept = placed.groupBy(F.coalesce("root", "whole").alias("_root")).agg(F.min("_least").alias("_who"))
-    kept = kept.select(F.col("_who.key").alias("_keep")).distinct()
+    who = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), key.alias("key"))
+    marked = cut_lineage(documents.select(who.alias("_who"), fingerprint(F.col(text_column), words).alias("fingerprint")))
+    least = component_table(marked, "_who", radius, shard_size)
+    kept = least.select(F.col("component_id.key").alias("_keep")).distinct()
     found = documents.select(F.struct("*").alias("_row"), key.alias("_key")).join(
         kept, F.col("_key") == F.col("_keep"), "left_semi"
     )

@@ -1,6 +1,5 @@
 """SimHash groups, repeated passages and link components, against brute force."""
 
-import math
 import random
 from collections import defaultdict
 
@@ -94,60 +93,38 @@ def test_small_shards_find_the_same_links(spark):
     assert groups[0] == groups[1] and groups[0]
 
 
-def test_one_of_each_group_of_similar_texts_stays(spark, documents, prose):
+def survivors(rows):
+    """Ids and texts that stay of ``(id, text)`` rows: the least id of each group, null ids last."""
+    prints = [plain_fingerprint(t) for _, t in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    groups = defaultdict(list)
+    for i, root in closure(range(len(rows)), near).items():
+        groups[root].append(rows[i][0])
+    return sorted((min((x is None, x or 0) for x in ids) for ids in groups.values()))
+
+
+def test_one_of_each_component_stays(spark, documents, prose):
     base = [prose(i, 300) for i in range(12)]
-    rows = [(10 * i, t) for i, t in enumerate(base)]
-    rows += [(10 * i + 1, edited(t, 3, i)) for i, t in enumerate(base)]  # similarity near 0.9
-    rows += [(10 * i + 2, t) for i, t in enumerate(base)]
-    rows += [(1000 + i, edited(t, 60, i)) for i, t in enumerate(base)]  # far below 0.8
-    table = documents(rows + ODD, extra=True)
-    kept = simhash.keep_one(table)
-    assert kept.columns == table.columns
-    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
-    want = [(False, 10 * i) for i in range(12)] + [(False, 1000 + i) for i in range(12)]
-    want += [(False, 5), (False, 8), (False, 9), (True, 0)]
-    assert ids == sorted(want)
+    rows = [(10 * i, t) for i, t in enumerate(base)] + [(10 * i + 2, t.upper()) for i, t in enumerate(base)]
+    rows += [(10 * i + 1, edited(t, 1, i)) for i, t in enumerate(base)]
+    rows += [(1000 + i, edited(t, 60, i)) for i, t in enumerate(base)]
+    rows += [(2000 + i, edited(prose("long", 3000), 1 + i % 2, i)) for i in range(25)]
+    rows += [(3000, rows[-1][1]), (None, base[0]), (None, "of no id alone"), (None, "of no id alone")]
+    for extra in (False, True):
+        table = documents(rows + ODD, extra=extra)
+        kept = simhash.keep_one(table)
+        assert kept.columns == table.columns
+        want = survivors(rows + ODD)
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == want
+        assert len(want) < len(rows)
     assert simhash.keep_one(documents([])).count() == 0
 
 
-def spliced(prose, seed, size, common):
-    """Two texts of ``size`` shingles of five words each that share ``common`` shingles, at their beginning."""
-    first = prose(f"{seed} first", size + 4).split()
-    own = [f"own{seed}x{i}" for i in range(size - common)]
-    return " ".join(first), " ".join(first[: common + 4] + own)
-
-
-def shingle_set(text):
-    words = text.split()
-    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
-
-
-def test_pairs_near_the_limit_are_decided_exactly(spark, documents, prose):
-    rows, want = [], set()
-    for at, similarity in enumerate((0.75, 0.78, 0.79, 0.80, 0.82, 0.85)):
-        for i in range(15):
-            common = 2 * similarity / (1 + similarity) * 360
-            a, b = spliced(prose, f"{at}n{i}", 360, math.floor(common) if similarity < 0.8 else math.ceil(common))
-            one, two = shingle_set(a), shingle_set(b)
-            assert (len(one & two) >= 0.8 * len(one | two)) == (similarity >= 0.8)
-            place = 1000 * at + 10 * i
-            rows += [(place, a), (place + 1, b)]
-            want |= {place} if similarity >= 0.8 else {place, place + 1}
-    for settings in (simhash.Similar(), simhash.Similar(shard_size=1)):
-        assert {r.doc_id for r in simhash.keep_one(documents(rows), settings=settings).collect()} == want
-
-
-def test_copies_that_repeat_a_line_or_are_very_short(spark, documents, prose):
-    rows, want = [], set()
-    for i in range(10):
-        line, rest = prose(f"line {i}", 8), prose(f"rest {i}", 60)
-        rows += [(10 * i, f"{line} {line} {rest}"), (10 * i + 1, f"{line} " * 500 + rest)]
-        want.add(10 * i)
-    for i in range(100, 250):
-        words = prose(f"short {i}", 9, 10**9)
-        rows += [(10 * i, words), (10 * i + 1, words.rsplit(" ", 1)[0])]  # five shingles and four
-        want.add(10 * i)
-    assert {r.doc_id for r in simhash.keep_one(documents(rows)).collect()} == want
+def test_a_hot_text_and_rows_of_one_id(spark, documents, prose):
+    rows = [(7, "hot text of very many copies")] * 400 + [(i, "hot text of very many copies") for i in range(10, 300)]
+    rows += [(7, prose("other text of that id", 80))] + [(None, None)] * 200
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in simhash.keep_one(documents(rows)).collect())
+    assert kept == [(False, 7, "hot text of very many copies"), (False, 7, rows[690][1]), (True, 0, "")]
 
 
 def test_repeated_passages_are_found_and_true(spark, documents, prose):
