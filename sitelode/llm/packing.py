@@ -3,8 +3,8 @@
 Documents are cut into pieces of at most ``capacity`` tokens. Only the number of pieces of
 each length matters for a plan, and there are ``capacity`` lengths at most, whatever the
 number of documents. The plan consumes lengths that fill a gap exactly: single, pair
-and triple sums are looked up in a table of what is available, and each combination is
-taken as often as the counts allow. What has no exact complement is packed best-fit,
+and triple sums are indexed by sum, and each combination that has a gap's sum is taken
+as often as the counts allow. What has no exact complement is packed best-fit,
 longest first. The plan is a short list of runs, "pieces ``from``..``to`` of this length go
 to sequences ``s, s + 1, ...`` at this offset", and the pieces find their run by their
 rank within their length.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,11 +80,55 @@ class Run:
     offset: int
 
 
+class _Sums:
+    """Sums of two and three of the given lengths, indexed by sum up to ``capacity``; a single length is its own index.
+
+    ``pairs(s)`` holds the longer members of all pairs with sum ``s``, ``triples(s)`` the longest members of all triples,
+    which the pairs of the rest complete. Both are longest first, and are tables of (sum, member) sorted by sum: at
+    most a quarter and a third of ``capacity`` squared entries. ``alive`` counts the pairs of a sum that are still available.
+    """
+
+    def __init__(self, lengths: list[int], capacity: int) -> None:
+        self.capacity = capacity
+        known = np.array(sorted(lengths, reverse=True), np.int32)
+        self._pair_at, self._pair = self._table([(known[i:], n) for i, n in enumerate(known.tolist())])
+        self.alive = np.diff(self._pair_at)
+        # The shortest longer member of the pairs of a sum tells whether a third length can be the longest.
+        shortest = np.full(capacity + 1, capacity + 1, np.int32)
+        full = np.flatnonzero(np.diff(self._pair_at))
+        shortest[full] = self._pair[self._pair_at[full + 1] - 1]
+        sums = np.arange(capacity + 1, dtype=np.int32)
+        self._triple_at, self._triple = self._table([(sums[shortest <= n], n) for n in known.tolist()])
+
+    def _table(self, parts: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Members by the sum of what stands beside them and themselves."""
+        sums, members = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for others, n in parts:
+            fits = others[others + n <= self.capacity] + n
+            sums.append(fits)
+            members.append(np.full(len(fits), n, np.int32))
+        every = np.concatenate(sums)
+        order = np.argsort(every, kind="stable")
+        return np.searchsorted(every[order], np.arange(self.capacity + 2)), np.concatenate(members)[order]
+
+    def use_up(self, length: int, available: np.ndarray) -> None:
+        """Take the pairs of a length out of ``alive``, before it leaves ``available``."""
+        self.alive[length:][available[: self.capacity + 1 - length]] -= 1
+
+    def pairs(self, total: int) -> np.ndarray:
+        return self._pair[self._pair_at[total] : self._pair_at[total + 1]]
+
+    def triples(self, total: int) -> np.ndarray:
+        return self._triple[self._triple_at[total] : self._triple_at[total + 1]]
+
+
 class _Plan:
     def __init__(self, counts: dict[int, int], capacity: int) -> None:
         self.capacity = capacity
         self.left = {n: c for n, c in counts.items() if c > 0}
-        self.lengths = sorted(self.left)
+        self.available = np.zeros(capacity + 1, bool)
+        self.available[list(self.left)] = True
+        self.sums = _Sums(list(self.left), capacity)
         self.used: dict[int, int] = defaultdict(int)
         self.runs: list[Run] = []
         self.sequences = 0
@@ -94,58 +139,57 @@ class _Plan:
         self.left[length] -= count
         if not self.left[length]:
             del self.left[length]
-            del self.lengths[bisect_left(self.lengths, length)]
+            self.sums.use_up(length, self.available)
+            self.available[length] = False
 
     def times(self, parts: tuple[int, ...]) -> int:
         """How often the counts allow a combination."""
-        return min((self.left.get(n, 0) // parts.count(n) for n in set(parts)), default=0)
+        return min(self.left.get(n, 0) // parts.count(n) for n in set(parts))
 
     def consume(self, parts: tuple[int, ...]) -> None:
         count = self.times(parts)
+        if not count:
+            return
         offset = 0
         for n in parts:
             self.take(n, count, self.sequences, offset)
             offset += n
         self.sequences += count
 
-    def pair(self, gap: int, most: int) -> tuple[int, int] | None:
-        """The available pair with this sum whose longer member is longest, at most ``most``."""
-        at = bisect_left(self.lengths, min(most, gap - 1) + 1) - 1
-        while at >= 0 and 2 * self.lengths[at] >= gap:
-            n = self.lengths[at]
-            if gap - n in self.left and (gap != 2 * n or self.left[n] > 1):
-                return n, gap - n
-            at -= 1
-        return None
-
     def exact(self) -> None:
-        """Consume combinations of up to four lengths that fill a sequence to the end, from the longest length down."""
+        """Consume combinations that fill a sequence to the end: each length, longest first, with what the index has for its gap.
+
+        What is used up never returns, so every entry of the index is tried once a gap, as often as the counts allow.
+        """
         for n in sorted(self.left, reverse=True):
-            while n in self.left:
-                self.left[n] -= 1  # the piece whose complement is sought is not available to it
-                found = self._complement(self.capacity - n, n)
-                self.left[n] += 1
-                if found is None:
+            for parts in self._complements(self.capacity - n, n):
+                self.consume((n, *parts))
+                if n not in self.left:
                     break
-                self.consume((n, *found))
 
-    def _complement(self, gap: int, most: int) -> tuple[int, ...] | None:
+    def _complements(self, gap: int, most: int) -> Iterator[tuple[int, ...]]:
+        """Singles, pairs and triples, still available, that fill the gap with lengths of ``most`` at most."""
         if not gap:
-            return ()
-        if gap <= most and self.left.get(gap, 0) > 0:
-            return (gap,)
-        two = self.pair(gap, most)
-        if two is not None and all(self.left.get(x, 0) >= two.count(x) for x in two):
-            return two
-        at = bisect_left(self.lengths, min(most, gap - 2) + 1) - 1
-        while at >= 0 and 3 * self.lengths[at] >= gap:
-            x = self.lengths[at]
-            if self.left[x] > 0:
-                two = self.pair(gap - x, x)
-                if two is not None and all(self.left.get(y, 0) >= (x, *two).count(y) for y in set((x, *two))):
-                    return x, *two
-            at -= 1
-        return None
+            yield ()
+            return
+        if gap <= most and self.available[gap]:
+            yield (gap,)
+        yield from self._pairs(gap, most)
+        longest = self.sums.triples(gap)
+        open_ = (longest <= most) & self.available[longest] & (self.sums.alive[gap - longest] > 0)
+        for x in longest[open_].tolist():
+            if not self.sums.alive[gap - x]:
+                continue
+            for two in self._pairs(gap - x, x):
+                if not self.available[x]:
+                    break
+                yield x, *two
+
+    def _pairs(self, gap: int, most: int) -> Iterator[tuple[int, int]]:
+        longer = self.sums.pairs(gap)
+        for a in longer[(longer <= most) & self.available[longer] & self.available[gap - longer]].tolist():
+            if self.available[a] and self.available[gap - a]:
+                yield a, gap - a
 
     def best_fit(self) -> None:
         """The rest, longest first, each into the open sequences with the smallest gap that holds it."""

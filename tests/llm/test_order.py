@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -88,6 +89,35 @@ def test_exact_complements_leave_no_waste():
     assert packing.plan({}, 100) == []
 
 
+def test_sums_are_indexed_whole_and_pairs_are_counted_as_they_go():
+    rng = random.Random(6)
+    lengths = rng.sample(range(1, 61), 25)
+    sums = packing._Sums(lengths, 60)
+    available = np.zeros(61, bool)
+    available[lengths] = True
+    for gone in [None, *lengths[:10]]:
+        if gone is not None:
+            sums.use_up(gone, available)
+            available[gone] = False
+        for total in range(61):
+            pairs = [(a, total - a) for a in sorted(lengths, reverse=True) if total - a in lengths and 2 * a >= total]
+            triples = {x for x in lengths for a in lengths if a <= x and total - x - a in lengths and total - x - a <= a}
+            assert sums.pairs(total).tolist() == [a for a, _ in pairs]
+            assert sums.triples(total).tolist() == sorted(triples, reverse=True)
+            assert sums.alive[total] == sum(bool(available[a] and available[b]) for a, b in pairs)
+
+
+def test_no_exact_combination_of_up_to_four_is_left():
+    rng = random.Random(7)
+    for _ in range(20):
+        counts = {n: rng.randrange(1, 4) for n in rng.sample(range(1, 41), 15)}
+        made = packing._Plan(counts, 40)
+        made.exact()
+        rest = [n for n, c in made.left.items() for _ in range(c)]
+        for size in (1, 2, 3, 4):
+            assert not any(sum(parts) == 40 for parts in combinations(rest, size))
+
+
 def test_packing_rejects_bad_lengths_and_takes_empty_tables(spark):
     table = spark.createDataFrame([(1, 5)], "id int, length bigint")
     with pytest.raises(ValueError, match="between 1 and 4"):
