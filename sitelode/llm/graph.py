@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps alternate until nothing moves, which takes a number
     of rounds that grows with the logarithm of the longest chain. Minima are combined
-    before the shuffle, so a vertex with very many links is no hot group.
+    before the shuffle. The joins bring the links of a vertex together, narrow rows of two
+    numbers; where one vertex has very many, Spark's skew join splits them.
     """
     edges = cut_lineage(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
