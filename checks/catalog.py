@@ -477,9 +477,9 @@ def page_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def progress_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The closing rows of all crawls, written twice."""
+    """All progress messages of all crawls, written twice."""
     location = scratch_path(spark, "progress")
-    rows = cut_lineage(crawl_summary(spark, sf_dir))
+    rows = cut_lineage(progress_snapshots(spark, sf_dir))
     tables.write_progress(rows, location)
     tables.write_progress(rows, location)
     return tables.read_stored(spark, location)
