@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelode.functions import addresses, entities, globs, links, text, urls, wikiurls
@@ -460,6 +460,17 @@ def progress_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks and streams -------------------------------------------------------------------
 
 
+def _arrive(rows: DataFrame, location: str, by: Column, batches_: int) -> int:
+    """Write ``rows`` as files that arrive in so many micro-batches, and say how many files make one.
+
+    There are as many files as a shuffle has partitions, so the files of a batch give all cores work, and more do where the
+    input, and with it that number, is larger.
+    """
+    spark = rows.sparkSession
+    rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), by).write.parquet(location)
+    return max(1, -(-len(spark.read.schema(rows.schema).parquet(location).inputFiles()) // batches_))
+
+
 def page_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written by crawl and read back."""
     placed = d.derive(spark, sf_dir, d.SITE_PAGES).select(
@@ -520,10 +531,10 @@ def stream_crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     location, output, state = (scratch_path(spark, n) for n in ("captures", "stream", "state"))
     captured = d.derive(spark, sf_dir, d.ARRIVING_CAPTURES)
     timed = captured.withColumn("captured_at", F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("second") * 1_000_000)).drop("second")
-    timed.repartition(4, "body").write.parquet(location)
+    files = _arrive(timed, location, F.col("body"), 2)
     asked, _ = requests.parse_requests(d.derive(spark, sf_dir, d.SITE_REQUESTS))
     asked = cut_lineage(scope.compile_globs(asked))
-    arriving = spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", 2).parquet(location)
+    arriving = spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", files).parquet(location)
     page_streams.store_crawl_pages(page_streams.crawl_pages(arriving, asked, "captured_at"), output, state).awaitTermination()
     found = page_streams.first_pages(batches.read_batches(spark, output))
     return found.select("crawl_id", "key", "source_url", "title", F.md5("content").alias("digest"))

@@ -37,7 +37,11 @@ def page_stream(
 def _read_pages(captured: DataFrame, extractor: Extractor) -> DataFrame:
     """Captured pages that hold content, with it and without their bodies."""
     pages = captured.filter(is_html(F.col("status"), F.col("content_type")))
-    return extractor.read(pages).filter((F.col("content_status") == "content") & has_text(F.col("content"))).drop("body")
+    read = extractor.read(pages).drop("body")
+    # What was read passes through inline(): the filter would else move below the reading, which then ran for the filter and again.
+    found = ["title", "description", "content", "content_status"]
+    once = read.select(*[c for c in read.columns if c not in found], F.inline(F.array(F.struct(*found))))
+    return once.filter((F.col("content_status") == "content") & has_text(F.col("content")))
 
 
 def crawl_pages(

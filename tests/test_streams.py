@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelode import schemas
-from sitelode.operators import fetch, scope
+from sitelode.operators import content, fetch, scope
 from sitelode.plans import progress
 from sitelode.sources.requests import parse_requests
 from sitelode.streaming import batches, captures, counts, pages
@@ -150,3 +150,15 @@ def test_arriving_captures_settle_as_the_whole_table_does(spark, tmp_path):
     captures.store_arriving(arriving, out, state, "seen").awaitTermination(120)
     settled = captures.settled_captures(spark, out, "seen").select(*fetch.captures(spark.createDataFrame(rows[:1], schema)).columns)
     assert sorted(map(tuple, settled.collect())) == want
+
+
+def test_a_stream_reads_a_page_once(spark):
+    def read(rows, body="body"):
+        found = rows.withColumns({"title": F.lit(""), "description": F.lit(""), "content": F.regexp_replace(body, "<costly>", "")})
+        return found.withColumn("content_status", F.when(F.col("content") != "", F.lit("content")).otherwise(F.lit("blank")))
+
+    rows = spark.createDataFrame([page("https://x.example/docs/1", "<costly>one"), page("https://x.example/docs/2", "<costly>")], schemas.RESPONSES)
+    found = pages.page_stream(rows, content.Extractor(read, F.lit))
+    assert [(r.key, r.content) for r in found.collect()] == [("https://x.example/docs/1", "one")]
+    # Neither the filter nor the status of a page reads it again.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("<costly>") == 1
