@@ -500,8 +500,8 @@ def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures as arriving files, deduplicated by key and extracted as a stream."""
     location, output, state = (scratch_path(spark, n) for n in ("captures", "stream", "state"))
     captured = d.derive(spark, sf_dir, d.SITE_CAPTURES).withColumn("elapsed_ms", F.col("elapsed_ms").cast("bigint"))
-    captured.repartition(4, "url").write.parquet(location)
-    arriving = tables.stream_responses(spark, location, files_per_batch=2)
+    files = _arrive(captured, location, F.col("url"), 2)
+    arriving = tables.stream_responses(spark, location, files_per_batch=files)
     page_streams.write_stream(page_streams.page_stream(arriving), output, state).awaitTermination()
     return spark.read.parquet(output).select("key", "title", F.md5("content").alias("digest"))
 
@@ -544,8 +544,8 @@ def stream_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The capture of every key that counts, of captures and re-captures that arrive as files."""
     location, output, state = (scratch_path(spark, n) for n in ("captures", "settled", "state"))
     captured = d.derive(spark, sf_dir, d.REPEATED_CAPTURES).withColumn("elapsed_ms", F.col("elapsed_ms").cast("bigint"))
-    captured.repartition(6, F.xxhash64("body")).write.parquet(location)
-    arriving_captures.store_arriving(tables.stream_responses(spark, location, files_per_batch=2), output, state).awaitTermination()
+    files = _arrive(captured, location, F.xxhash64("body"), 3)
+    arriving_captures.store_arriving(tables.stream_responses(spark, location, files_per_batch=files), output, state).awaitTermination()
     settled = arriving_captures.settled_captures(spark, output)
     return settled.select("fetch_key", "url", "elapsed_ms", F.md5("body").alias("digest"))
 
@@ -555,8 +555,8 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     location, output, state = (scratch_path(spark, n) for n in ("fetches", "counts", "state"))
     fetches = d.derive(spark, sf_dir, d.FETCH_LOG).withColumn("arrived", F.lit("2024-01-01").cast("timestamp"))
     rows = fetches.withColumn("is_end", F.lit(False)).select(*[f.split()[0] for f in counts.ARRIVALS.split(", ")])
-    rows.repartition(6, F.xxhash64("visit")).write.parquet(location)
-    arriving = spark.readStream.schema(counts.ARRIVALS).option("maxFilesPerTrigger", 2).parquet(location)
+    files = _arrive(rows, location, F.xxhash64("visit"), 3)
+    arriving = spark.readStream.schema(counts.ARRIVALS).option("maxFilesPerTrigger", files).parquet(location)
     counts.count_stream(arriving, output, state, visits_per_slice=16).awaitTermination()
     closed = counts.crawl_counts(spark, output, budget_ms=60_000)
     return closed.select("crawl_id", "completed", "total", "capped", "reason")

@@ -20,3 +20,21 @@ def test_the_progress_sink_holds_every_message(spark, placed):
     crawls = {r[0] for r in got}
     assert {r[0] for r in got if r[4] == "completed"} == crawls and {r[0] for r in got if r[1] == 0} == crawls
     assert len(got) > 2 * len(crawls)  # snapshots between the first message and the last
+
+
+def test_arriving_files_grow_with_the_partitions_of_a_shuffle(spark, placed, monkeypatch):
+    seen, stream = [], catalog.tables.stream_responses
+
+    def noted(session, location, files_per_batch):
+        seen.append((len(session.read.parquet(location).inputFiles()), files_per_batch))
+        return stream(session, location, files_per_batch=files_per_batch)
+
+    monkeypatch.setattr(catalog.tables, "stream_responses", noted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "10")
+    try:
+        got = catalog.stream_pages(spark, placed).count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    [(files, each)] = seen
+    assert got > 50 and files == 10 and each == 5  # two micro-batches, each with work for five tasks
