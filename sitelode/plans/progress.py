@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,18 +82,18 @@ def close_crawls(counted: DataFrame) -> DataFrame:
 
 
 def _slice_runs(every_pages: int, every_ms: int, slice_rows: int):
-    """Snapshots of one slice, for every state the slice may be entered in.
+    """Snapshots of one slice, for every state the slice may be entered in, many slices to a call.
 
     A state is how many pages ago the last snapshot was. It is below
     ``every_pages``, because that many pages always trigger one.
     """
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("page_no")
-        first = key[1] * slice_rows + 1
-        numbers, times = rows["page_no"].tolist(), rows["t_ms"].tolist()
-        clock = dict(zip(numbers, times))
-        own = [(n, t) for n, t in zip(numbers, times) if n >= first]
+    def run(number: int, pages: list[dict]) -> dict:
+        first = number * slice_rows + 1
+        # A time that is not known is no time to wait for.
+        times = [(p["page_no"], math.nan if p["t_ms"] is None else p["t_ms"]) for p in pages]
+        clock = dict(times)
+        own = [(n, t) for n, t in times if n >= first]
         leave, taken = [], []
         for ago in range(min(every_pages, first)):
             last_n = first - 1 - ago
@@ -103,18 +105,31 @@ def _slice_runs(every_pages: int, every_ms: int, slice_rows: int):
                     due.append(n)
             leave.append(own[-1][0] - last_n)
             taken.append(due)
-        return pd.DataFrame({"crawl_id": [key[0]], "slice": [key[1]], "leave": [leave], "taken": [taken]})
+        return {"leave": leave, "taken": taken}
+
+    @F.arrow_udf("struct<leave:array<int>,taken:array<array<bigint>>>")
+    def runs(slices: pa.Array, pages: pa.Array) -> pa.Array:
+        done = [run(*one) for one in zip(slices.to_pylist(), pages.to_pylist())]
+        return pa.array(done, pa.struct({"leave": pa.list_(pa.int32()), "taken": pa.list_(pa.list_(pa.int64()))}))
+
+    return runs
+
 
-    return run
+def _enter_states():
+    """The state in which each slice of a crawl is entered, from its slices in order; each is one small entry."""
 
+    def walk(slices: list[dict]) -> list[dict]:
+        state, out = 0, []
+        for one in slices:
+            out.append({"slice": one["slice"], "enter": state})
+            state = one["leave"][state]
+        return out
 
-def _enter_states(key: tuple, slices: pd.DataFrame) -> pd.DataFrame:
-    """Walk the slices of one crawl in order; each is one small row."""
-    state, out = 0, []
-    for number, leave in slices.sort_values("slice")[["slice", "leave"]].itertuples(index=False):
-        out.append((key[0], number, state))
-        state = leave[state]
-    return pd.DataFrame(out, columns=["crawl_id", "slice", "enter"])
+    @F.arrow_udf("array<struct<slice:bigint,enter:int>>")
+    def entered(slices: pa.Array) -> pa.Array:
+        return pa.array([walk(s) for s in slices.to_pylist()], pa.list_(pa.struct({"slice": pa.int64(), "enter": pa.int32()})))
+
+    return entered
 
 
 def snapshot_pages(
@@ -135,20 +150,13 @@ def snapshot_pages(
         "crawl_id", "page_no", "t_ms", F.explode(F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("slice")
     )
     last = kept.groupBy("crawl_id").agg(F.max(own).alias("last_slice"))
-    runs = cut_lineage(
-        placed.join(last, "crawl_id")
-        .filter("slice <= last_slice")
-        .groupBy("crawl_id", "slice")
-        .applyInPandas(
-            _slice_runs(every_pages, every_ms, slice_rows),
-            "crawl_id string, slice bigint, leave array<int>, taken array<array<bigint>>",
-        )
-    )
-    entered = (
-        runs.select("crawl_id", "slice", "leave")
-        .groupBy("crawl_id")
-        .applyInPandas(_enter_states, "crawl_id string, slice bigint, enter int")
-    )
+    # A slice is gathered into one row, and rows go to Python by the batch: a call for each of very many small crawls costs far more.
+    pages = F.array_sort(F.collect_list(F.struct("page_no", "t_ms"))).alias("pages")
+    gathered = placed.join(last, "crawl_id").filter("slice <= last_slice").groupBy("crawl_id", "slice").agg(pages)
+    run = _slice_runs(every_pages, every_ms, slice_rows)(F.col("slice"), F.col("pages"))
+    runs = cut_lineage(gathered.select("crawl_id", "slice", run.alias("run")).select("crawl_id", "slice", "run.leave", "run.taken"))
+    ordered = runs.groupBy("crawl_id").agg(F.array_sort(F.collect_list(F.struct("slice", "leave"))).alias("slices"))
+    entered = ordered.select("crawl_id", F.inline(_enter_states()(F.col("slices"))))
     return runs.join(entered, ["crawl_id", "slice"]).select(
         "crawl_id", F.explode(F.element_at("taken", F.col("enter") + 1)).alias("page_no")
     )
